@@ -100,7 +100,8 @@ def confusion(spark, d):
     return evaluation.confusion(coarse(spark, d), 0.5)
 
 
-MCC = "(tp::DOUBLE * tn - fp::DOUBLE * fn) / (sqrt(tp + fp) * sqrt(tp + fn) * sqrt(tn + fp) * sqrt(tn + fn))"
+MARGINS = "(sqrt(tp + fp) * sqrt(tp + fn) * sqrt(tn + fp) * sqrt(tn + fn))"
+MCC = f"(CASE WHEN {MARGINS} = 0 THEN 0 ELSE (tp::DOUBLE * tn - fp::DOUBLE * fn) / {MARGINS} END)"
 F2 = "5.0::DOUBLE * (precision * recall) / greatest(4.0::DOUBLE * precision + recall, 1e-12)"
 
 

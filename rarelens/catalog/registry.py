@@ -63,7 +63,7 @@ def _scored(name: str, code: str, base: int) -> str:
 
 
 SC = _scored("sc", "l_orderkey * 7919 + l_linenumber * 104729", 1009)
-SF = _scored("sf", "l_orderkey * 48271 + l_linenumber::BIGINT * 1299709", 2147483647)
+SF = _scored("sf", "l_orderkey * 69069069 + l_linenumber::BIGINT * 1299709", 2147483647)
 MODELS = SC + ", " + SF + """, models AS (
   SELECT 'coarse' AS model, label, score FROM sc UNION ALL SELECT 'fine' AS model, label, score FROM sf)"""
 

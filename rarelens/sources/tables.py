@@ -129,7 +129,7 @@ def scored_lineitems(spark: SparkSession, directory: str, model: str = "coarse")
     if model == "coarse":
         code, base = F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729, 1009
     elif model == "fine":
-        code, base = F.col("l_orderkey") * 48271 + F.col("l_linenumber").cast("bigint") * 1299709, 2147483647
+        code, base = F.col("l_orderkey") * 69069069 + F.col("l_linenumber").cast("bigint") * 1299709, 2147483647
     else:
         raise ValueError(model)
     noise = (code % base) / F.lit(float(base)) * F.lit(0.7)
