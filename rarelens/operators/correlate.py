@@ -10,7 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rarelens.operators.ordered import distinct_ranks, join_on, quantiles
+from rarelens.operators.ordered import distinct_ranks, quantiles, skew_split_join
 
 PAIRS_PER_JOB = 120
 
@@ -61,8 +61,7 @@ def correlation_with_target(df: DataFrame, features: Sequence[str], target: str
 def ranked_rows(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Long table (key, column, average_rank) for rows where every column is present.
 
-    The rank of each distinct value is joined back on (column, value). Values frequent enough to skew that
-    join are split off: at most `heavy_share` of them can exist per column, so their ranks are broadcast.
+    The rank of each distinct value is joined back on (column, value), frequent values apart from rare ones.
     """
     complete = df.select(key, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns]).na.drop()
     items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
@@ -72,14 +71,7 @@ def ranked_rows(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     ranks = parts[0]
     for part in parts[1:]:
         ranks = ranks.unionByName(part)
-    heavy_share = 1000
-    is_heavy = F.col("copies") * heavy_share > F.col("n")  # fewer than 1000 values per column
-    heavy = ranks.where(is_heavy).select("column", "value", "average_rank")
-    light = ranks.where(~is_heavy).select("column", "value", F.col("average_rank").alias("_light"))
-    marked = join_on(long, F.broadcast(heavy), ["column", "value"], "left")
-    frequent = marked.where(F.col("average_rank").isNotNull())
-    rare = join_on(marked.where(F.col("average_rank").isNull()).drop("average_rank"), light, ["column", "value"])
-    return frequent.unionByName(rare.withColumnRenamed("_light", "average_rank")).select(key, "column", "average_rank")
+    return skew_split_join(long, ranks, ["column", "value"], "copies", "n").select(key, "column", "average_rank")
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelens.functions.rates import Confusion, ratio
-from rarelens.operators.curves import as_scored, average_precision_expr, roc_auc_expr, score_curve
-from rarelens.operators.sweep import counts_at
+from rarelens.operators.curves import (
+    as_scored,
+    average_precision_expr,
+    ranking_metrics,
+    roc_auc_expr,
+    score_curve,
+)
+from rarelens.operators.ordered import double_array
+from rarelens.operators.sweep import counts_at, sweep, threshold_grid
 
 
 def confusion(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
@@ -87,19 +94,19 @@ def compare_models(df: DataFrame, model: str = "model", label: str = "label", sc
                    thresholds: Sequence[float] | None = None, fp_cost: float = 1.0,
                    fn_cost: float = 20.0) -> DataFrame:
     """One row per model: ranking quality, metrics at 0.50 and at its cheapest grid threshold."""
-    from rarelens.operators.curves import ranking_metrics
-    from rarelens.operators.sweep import pick_from_sweep, sweep, threshold_grid
-
     grid = list(thresholds or threshold_grid())
     swept = sweep(df, sorted({*grid, 0.5}), label, score, [model], fp_cost, fn_cost)
     fields = ("precision", "recall", "f1", "tp", "fp", "fn", "cost_per_tx")
-    half = swept.where(F.col("threshold") == 0.5).select(
-        model, *[F.col(c).alias(f"thr_0_50_{c}") for c in fields])
-    on_grid = swept.where(F.col("threshold").isin(grid))
-    best = pick_from_sweep(on_grid, "cost", [model]).select(
-        model, F.col("threshold").alias("thr_cost_best"), *[F.col(c).alias(f"thr_cost_{c}") for c in fields])
-    ranking = ranking_metrics(score_curve(df, label, score, [model]), [model]).select(model, "roc_auc", "pr_auc")
-    return ranking.join(half, model).join(best, model)
+    row = F.struct("threshold", *fields)
+    cheapest = F.struct(-F.col("cost_per_tx"), -F.col("threshold"))
+    on_grid = F.array_contains(double_array(grid), F.col("threshold"))
+    picks = swept.groupBy(model).agg(
+        F.max_by(row, F.when(F.col("threshold") == 0.5, 1)).alias("_half"),
+        F.max_by(row, F.when(on_grid, cheapest)).alias("_best"))
+    ranking = ranking_metrics(score_curve(df, label, score, [model]), [model])
+    return ranking.join(picks, model).select(
+        model, "roc_auc", "pr_auc", *[F.col(f"_half.{c}").alias(f"thr_0_50_{c}") for c in fields],
+        F.col("_best.threshold").alias("thr_cost_best"), *[F.col(f"_best.{c}").alias(f"thr_cost_{c}") for c in fields])
 
 
 def locked_counts(df: DataFrame, thresholds: Sequence[float], **options) -> DataFrame:

@@ -39,6 +39,20 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def skew_split_join(rows: DataFrame, side: DataFrame, keys: Sequence[str], copies: str, total: str,
+                    share: int = 1000) -> DataFrame:
+    """Inner join of rows with a table that has one line per key and the key's row count.
+
+    Keys with more than 1/share of all rows (there are fewer than `share` of them) are joined by broadcast,
+    so a key that holds a third of the rows never becomes one task. The others are joined by shuffle.
+    """
+    is_heavy = F.col(copies) * share > F.col(total)
+    heavy, light = F.broadcast(side.where(is_heavy)), side.where(~is_heavy)
+    frequent = join_on(rows, heavy, keys)
+    rare = join_on(join_on(rows, heavy.select(*keys), keys, "left_anti"), light, keys)
+    return frequent.unionByName(rare)
+
+
 @dataclass(frozen=True)
 class RangeBuckets:
     """Bucket edges per column, and an estimate of how many groups share them."""

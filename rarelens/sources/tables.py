@@ -122,10 +122,7 @@ def transactions(spark: SparkSession, directory: str) -> DataFrame:
     return transactions_from_events(sample_table(spark, directory, "events"))
 
 
-def scored_lineitems(spark: SparkSession, directory: str, model: str = "coarse") -> DataFrame:
-    """A scored set: `coarse` has about 2,000 distinct scores (many ties), `fine` nearly one per row."""
-    items = sample_table(spark, directory, "lineitem")
-    positive = F.col("l_returnflag") == "R"
+def _sample_score(model: str) -> Column:
     if model == "coarse":
         code, base = F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729, 1009
     elif model == "fine":
@@ -133,15 +130,22 @@ def scored_lineitems(spark: SparkSession, directory: str, model: str = "coarse")
     else:
         raise ValueError(model)
     noise = (code % base) / F.lit(float(base)) * F.lit(0.7)
-    return items.select("l_orderkey", "l_linenumber", positive.cast("int").alias("label"),
-                        (noise + F.when(positive, F.lit(0.2)).otherwise(F.lit(0.0))).alias("score"))
+    return noise + F.when(F.col("l_returnflag") == "R", F.lit(0.2)).otherwise(F.lit(0.0))
+
+
+def scored_lineitems(spark: SparkSession, directory: str, model: str = "coarse") -> DataFrame:
+    """A scored set: `coarse` has about 2,000 distinct scores (many ties), `fine` nearly one per row."""
+    label = (F.col("l_returnflag") == "R").cast("int").alias("label")
+    return sample_table(spark, directory, "lineitem").select(
+        "l_orderkey", "l_linenumber", label, _sample_score(model).alias("score"))
 
 
 def two_models(spark: SparkSession, directory: str) -> DataFrame:
-    """Both scorers stacked as (model, label, score)."""
-    parts = [scored_lineitems(spark, directory, m).select(F.lit(m).alias("model"), "label", "score")
-             for m in ("coarse", "fine")]
-    return parts[0].unionByName(parts[1])
+    """Both scorers stacked as (model, label, score), from one scan."""
+    scores = F.array(*[F.struct(F.lit(m).alias("model"), _sample_score(m).alias("score")) for m in ("coarse", "fine")])
+    label = (F.col("l_returnflag") == "R").cast("int").alias("label")
+    return sample_table(spark, directory, "lineitem").select(label, F.explode(scores).alias("_s")).select(
+        "_s.model", "label", "_s.score")
 
 
 def embedding_features(spark: SparkSession, directory: str, width: int = 64) -> DataFrame:

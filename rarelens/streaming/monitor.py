@@ -74,17 +74,16 @@ class DriftBaseline:
         return list(self.edges)
 
 
-def _bin(feature: str, edges: Sequence[float]) -> Column:
-    out = F.lit(0)
-    for e in edges:
-        out = out + (F.col(feature) > F.lit(e)).cast("int")
-    return out
-
-
 def _bin_counts(edges: Mapping[str, Sequence[float]]) -> list[Column]:
-    """For each feature an array of its bin counts; rows without a value are left out."""
-    return [F.array(*[F.count(F.when(F.col(f).isNotNull() & (_bin(f, e) == i), 1)) for i in range(len(e) + 1)]).alias(f)
-            for f, e in edges.items()]
+    """For each feature an array of its bin counts (value above e1, .., above the last edge, NULLs left out).
+
+    One counter per edge; the bins are differences of neighbouring counters.
+    """
+    out = []
+    for f, e in edges.items():
+        above = [F.count(f), *[F.count(F.when(F.col(f) > F.lit(edge), 1)) for edge in e]]
+        out.append(F.array(*[a - b for a, b in zip(above, [*above[1:], F.lit(0)])]).alias(f))
+    return out
 
 
 def fit_drift(train: DataFrame, features: Sequence[str] = DRIFT_FEATURES, bins: int = DRIFT_BINS) -> DriftBaseline:
