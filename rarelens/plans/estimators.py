@@ -166,7 +166,7 @@ class AutoScaler(Estimator, _AutoParams, DefaultParamsReadable, DefaultParamsWri
     @keyword_only
     def __init__(self, *, inputCol="Amount", outputCol="Amount_scaled", choice="auto"):
         super().__init__()
-        self._setDefault(choice="auto")
+        self._setDefault(inputCol="Amount", outputCol="Amount_scaled", choice="auto")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "AutoScalerModel":

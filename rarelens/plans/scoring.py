@@ -84,8 +84,10 @@ def parse_payloads(df: DataFrame, contract: FeatureContract, text: str = "payloa
     label = lambda prefix: (lambda c: F.concat(F.lit(prefix), c))
     missing = F.transform(F.array_except(names, keys), label("missing field: "))
     unexpected = F.transform(F.array_sort(F.array_except(keys, names)), label("unexpected field: "))
+    # Bare NaN and Infinity tokens come out of the parser in quotes.
+    value = lambda c: F.regexp_replace(F.col("_m")[c], '^"(NaN|[+-]?Infinity)"$', "$1").alias(c)
     raw = parsed.select(*df.columns, F.col("_m").isNull().alias("_broken"), missing.alias("_missing"),
-                        unexpected.alias("_unexpected"), *[F.col("_m")[c].alias(c) for c in contract.raw])
+                        unexpected.alias("_unexpected"), *[value(c) for c in contract.raw])
     shape = F.concat("_missing", "_unexpected")
     reasons = (F.when(F.col("_broken"), F.array(F.lit("payload is not a JSON object")))
                .when(F.size(shape) > 0, shape).otherwise(row_reasons(contract)))
