@@ -41,7 +41,8 @@ def score_curve(df: DataFrame, label: str = "label", score: str = "score", by: S
     plan = range_buckets(scored, ["score"], by, buckets)
     points = plan.apply(scored).groupBy(*by, "_bucket_score", "score").agg(
         F.sum("label").alias("pos"), F.count(F.lit(1)).alias("cnt"))
-    totals = running_totals(points, by, "_bucket_score", "score", ["pos", "cnt"], descending=True)
+    totals = running_totals(points, by, "_bucket_score", "score", ["pos", "cnt"], descending=True,
+                            few_offsets=plan.few_offsets("score"))
     return totals.select(
         *by, F.col("score").alias("threshold"), "pos", "cnt",
         F.col("pos_upto").alias("tp"), F.col("cnt_upto").alias("n_at"),

@@ -23,6 +23,8 @@ from rarelens.session import shuffle_width
 
 # Up to this many groups, a per-group side table (a few hundred bytes per group) may be broadcast.
 BROADCAST_GROUP_LIMIT = 20_000
+# Up to this many (group, bucket) lines of some fifty bytes, the offset table may be broadcast.
+BROADCAST_OFFSET_LIMIT = 500_000
 HASH_PREFIX_DIGITS = 4
 
 
@@ -64,6 +66,9 @@ class RangeBuckets:
     def few_groups(self) -> bool:
         return self.groups <= BROADCAST_GROUP_LIMIT
 
+    def few_offsets(self, column: str) -> bool:
+        return self.groups * (len(self.edges[column]) + 2) <= BROADCAST_OFFSET_LIMIT
+
     def apply(self, df: DataFrame, prefix: str = "_bucket_") -> DataFrame:
         """Add `<prefix><column>`: the number of edges at or below the value (binary search on the JVM)."""
         for column, edges in self.edges.items():
@@ -104,11 +109,12 @@ def range_buckets(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
 
 
 def running_totals(points: DataFrame, by: Sequence[str], bucket: str, order: str,
-                   measures: Sequence[str], descending: bool = False) -> DataFrame:
+                   measures: Sequence[str], descending: bool = False, few_offsets: bool = False) -> DataFrame:
     """Add `<m>_upto` (inclusive running sum in `order`) and `<m>_total` for every measure.
 
-    `points` holds one row per (by, order value). The offsets join and the window use the same
-    (by, bucket) partitioning, so the points are shuffled once for both.
+    `points` holds one row per (by, order value). Offsets, one line per (by, bucket), are broadcast when their
+    number is known to be small. Otherwise they are merged in by shuffle: join and window then use the same
+    (by, bucket) partitioning, so the points are still shuffled once for both.
     """
     keys = [*by, bucket]
     direction = F.desc if descending else F.asc
@@ -121,7 +127,7 @@ def running_totals(points: DataFrame, by: Sequence[str], bucket: str, order: str
         *[F.sum(f"_sum_{m}").over(Window.partitionBy(*by)).alias(f"{m}_total") for m in measures],
     )
     inside = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
-    joined = points.join(offsets, keys)
+    joined = points.join(F.broadcast(offsets) if few_offsets else offsets.hint("merge"), keys)
     upto = {f"{m}_upto": F.col(f"_offset_{m}") + F.sum(m).over(inside) for m in measures}
     return joined.withColumns(upto).drop(*[f"_offset_{m}" for m in measures])
 
@@ -209,7 +215,7 @@ def distinct_ranks(df: DataFrame, column: str, by: Sequence[str] = (), extra: Se
     plan = range_buckets(clean, [column], by)
     points = plan.apply(clean).groupBy(*by, f"_bucket_{column}", F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("copies"), *extra)
-    ranked = running_totals(points, by, f"_bucket_{column}", "value", ["copies"])
+    ranked = running_totals(points, by, f"_bucket_{column}", "value", ["copies"], few_offsets=plan.few_offsets(column))
     average = F.col("copies_upto") - (F.col("copies") - 1) / 2.0
     return ranked.withColumn("average_rank", average).withColumnRenamed("copies_total", "n").drop(
         f"_bucket_{column}", "copies_upto")

@@ -24,24 +24,40 @@ DEFAULT_FN_COST = 20.0
 _CHOSEN = ("threshold", "precision", "recall", "tp", "fp", "tn", "fn")
 
 
-def _pick(best: Sequence[Column], when: Column | None = None) -> Column:
-    """The curve row whose `best` columns are largest, then the lowest threshold, among rows `when` holds."""
-    key = F.struct(*best, -F.col("threshold"))
-    usable = best[0].isNotNull() if when is None else (best[0].isNotNull() & when)
-    return F.max_by(F.struct(*_CHOSEN), F.when(usable, key))
+def _sizes() -> list[Column]:
+    return [F.max("positives").alias("_p"), F.max("n").alias("_n")]
 
 
-def _row(aggregated: DataFrame, by: Sequence[str], picked: str, *more: Column) -> DataFrame:
-    return aggregated.select(*by, *[F.col(f"{picked}.{c}").alias(c) for c in _CHOSEN], *more)
+def _pick(best: Column, when: Column | None = None) -> Column:
+    """The curve point with the largest `best`, then the lowest threshold, among the rows where `when` holds.
+
+    The point is its own sort key, so each row builds one small struct; everything else follows from its counts.
+    """
+    point = F.struct(best.alias("best"), (-F.col("threshold")).alias("low"), F.col("tp").alias("tp"),
+                     F.col("n_at").alias("n_at"))
+    return F.max(F.when(best.isNotNull() if when is None else best.isNotNull() & when, point))
+
+
+def _point(picked: Column) -> Column:
+    """A picked point as struct(threshold, precision, recall, tp, fp, tn, fn), given `_p` and `_n`."""
+    tp, n_at, p, n = picked["tp"], picked["n_at"], F.col("_p"), F.col("_n")
+    full = F.struct(
+        (-picked["low"]).alias("threshold"), rates.ratio(tp, n_at).alias("precision"), rates.ratio(tp, p).alias("recall"),
+        tp.alias("tp"), (n_at - tp).alias("fp"), (n - n_at - (p - tp)).alias("tn"), (p - tp).alias("fn"))
+    return F.when(picked.isNotNull(), full)
+
+
+def _row(aggregated: DataFrame, by: Sequence[str], picked: Column, *more: Column) -> DataFrame:
+    named = aggregated.withColumn("_point", _point(picked))
+    return named.select(*by, *[F.col(f"_point.{c}").alias(c) for c in _CHOSEN], *more)
 
 
 def recall_target(curve: DataFrame, by: Sequence[str] = (), target: float = DEFAULT_RECALL_TARGET) -> DataFrame:
     """Most precise threshold whose recall reaches the target; otherwise the most sensitive one."""
     reached = F.col("recall") >= target
     agg = with_counts(curve).groupBy(*by).agg(
-        _pick([F.col("precision")], reached).alias("hit"), _pick([F.col("recall")]).alias("fallback"))
-    return _row(agg.withColumn("pick", F.coalesce("hit", "fallback")), by, "pick",
-                F.col("hit").isNotNull().alias("meets_target"))
+        _pick(F.col("precision"), reached).alias("hit"), _pick(F.col("recall")).alias("fallback"), *_sizes())
+    return _row(agg, by, F.coalesce("hit", "fallback"), F.col("hit").isNotNull().alias("meets_target"))
 
 
 def max_f_beta(curve: DataFrame, by: Sequence[str] = (), beta: float = 2.0,
@@ -49,18 +65,17 @@ def max_f_beta(curve: DataFrame, by: Sequence[str] = (), beta: float = 2.0,
     """Threshold with the largest F-beta. `undefined_as_zero` keeps rows with P=R=0 in the running at 0."""
     f = rates.f_beta if undefined_as_zero else rates.f_beta_or_null
     value = f(F.col("precision"), F.col("recall"), beta)
-    agg = with_counts(curve).withColumn("f_beta", value).groupBy(*by).agg(
-        _pick([F.col("f_beta")]).alias("pick"), F.max("f_beta").alias("f_beta"))
-    return _row(agg, by, "pick", F.col("f_beta"))
+    agg = with_counts(curve).groupBy(*by).agg(_pick(value).alias("pick"), *_sizes())
+    return _row(agg, by, F.col("pick"), F.col("pick.best").alias("f_beta"))
 
 
 def precision_or_null(curve: DataFrame, by: Sequence[str] = (),
                       target: float = DEFAULT_PRECISION_TARGET) -> DataFrame:
     """Largest recall among thresholds with enough precision; NULLs and a note when there are none."""
     enough = F.col("precision") >= target
-    agg = with_counts(curve).groupBy(*by).agg(_pick([F.col("recall")], enough).alias("pick"))
+    agg = with_counts(curve).groupBy(*by).agg(_pick(F.col("recall"), enough).alias("pick"), *_sizes())
     note = F.when(F.col("pick").isNull(), F.lit("no threshold reaches the target precision"))
-    return _row(agg, by, "pick", F.lit(float(target)).alias("target_precision"), note.alias("note"))
+    return _row(agg, by, F.col("pick"), F.lit(float(target)).alias("target_precision"), note.alias("note"))
 
 
 def precision_or_best(curve: DataFrame, by: Sequence[str] = (),
@@ -68,9 +83,8 @@ def precision_or_best(curve: DataFrame, by: Sequence[str] = (),
     """Largest recall among thresholds with enough precision; otherwise the most precise threshold."""
     enough = F.col("precision") >= target
     agg = with_counts(curve).groupBy(*by).agg(
-        _pick([F.col("recall")], enough).alias("hit"), _pick([F.col("precision")]).alias("fallback"))
-    return _row(agg.withColumn("pick", F.coalesce("hit", "fallback")), by, "pick",
-                F.col("hit").isNotNull().alias("meets_constraint"))
+        _pick(F.col("recall"), enough).alias("hit"), _pick(F.col("precision")).alias("fallback"), *_sizes())
+    return _row(agg, by, F.coalesce("hit", "fallback"), F.col("hit").isNotNull().alias("meets_constraint"))
 
 
 def smallest_precise(curve: DataFrame, by: Sequence[str] = (),
@@ -78,18 +92,16 @@ def smallest_precise(curve: DataFrame, by: Sequence[str] = (),
     """Smallest threshold with enough precision; otherwise the most precise threshold."""
     enough = F.col("precision") >= target
     agg = with_counts(curve).groupBy(*by).agg(
-        _pick([F.lit(0)], enough).alias("hit"), _pick([F.col("precision")]).alias("fallback"))
-    return _row(agg.withColumn("pick", F.coalesce("hit", "fallback")), by, "pick",
-                F.col("hit").isNotNull().alias("meets_constraint"))
+        _pick(F.lit(0.0), enough).alias("hit"), _pick(F.col("precision")).alias("fallback"), *_sizes())
+    return _row(agg, by, F.coalesce("hit", "fallback"), F.col("hit").isNotNull().alias("meets_constraint"))
 
 
 def min_cost(curve: DataFrame, by: Sequence[str] = (), fp_cost: float = DEFAULT_FP_COST,
              fn_cost: float = DEFAULT_FN_COST) -> DataFrame:
     """Cheapest distinct score: fp_cost * FP + fn_cost * FN, straight from the curve's counts."""
     cost = rates.Confusion.of().cost(fp_cost, fn_cost)
-    agg = with_counts(curve).withColumn("cost", cost).groupBy(*by).agg(
-        _pick([-F.col("cost")]).alias("pick"), F.min("cost").alias("cost"))
-    return _row(agg, by, "pick", F.col("cost"))
+    agg = with_counts(curve).groupBy(*by).agg(_pick(-cost).alias("pick"), *_sizes())
+    return _row(agg, by, F.col("pick"), (-F.col("pick.best")).alias("cost"))
 
 
 POLICIES: dict[str, Callable[..., DataFrame]] = {
@@ -123,15 +135,14 @@ def all_policies(curve: DataFrame, by: Sequence[str] = (), beta: float = 2.0,
     cost = rates.Confusion.of().cost(fp_cost, fn_cost)
     enough = p >= precision_min
     agg = with_counts(curve).groupBy(*by).agg(
-        _pick([rates.f_beta_or_null(p, r, 1.0)]).alias("max_f1"),
-        _pick([rates.f_beta_or_null(p, r, beta)]).alias("max_fbeta"),
-        F.coalesce(_pick([F.lit(0)], enough), _pick([p])).alias("precision_constraint"),
-        _pick([-cost]).alias("cost_based"),
-    )
+        _pick(rates.f_beta_or_null(p, r, 1.0)).alias("max_f1"),
+        _pick(rates.f_beta_or_null(p, r, beta)).alias("max_fbeta"),
+        F.coalesce(_pick(F.lit(0.0), enough), _pick(p)).alias("precision_constraint"),
+        _pick(-cost).alias("cost_based"), *_sizes())
     names = ("max_f1", "max_fbeta", "precision_constraint", "cost_based")
-    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("policy"), F.col(n).alias("pick")) for n in names]))
+    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("policy"), _point(F.col(n)).alias("point")) for n in names]))
     return agg.select(*by, stacked.alias("_p")).select(
-        *by, "_p.policy", *[F.col(f"_p.pick.{c}").alias(c) for c in _CHOSEN])
+        *by, "_p.policy", *[F.col(f"_p.point.{c}").alias(c) for c in _CHOSEN])
 
 
 def recall_at_precision(curve: DataFrame, targets: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
