@@ -165,6 +165,23 @@ def model_coefficients(spark, d):
     return rounded(models.importances(model, spark))
 
 
+@query("shallow_tree_rules")
+def shallow_tree_rules(spark, d):
+    """One row per line of a depth-3 tree."""
+    spec = models.ModelSpec("decision_tree", {"max_depth": 3, "min_leaf": 5}, FEATURES, weights="balanced")
+    lines = models.tree_rules(spec.fit(three_parts(spark, d)["train"])).splitlines()
+    return spark.createDataFrame(list(enumerate(lines)), "line int, rule string")
+
+
+@query("model_save_load")
+def model_save_load(spark, d):
+    """A fitted pipeline written to the shared folder, read back and used."""
+    from rarelens.session import scratch_path
+    parts, path = three_parts(spark, d), scratch_path(spark, "model")
+    models.save_model(SPECS["logreg"].fit(parts["train"]), path)
+    return rounded(evaluation.evaluate(models.score_model(models.load_model(path), parts["test"]), 0.5))
+
+
 @query("trained_model_compare")
 def trained_model_compare(spark, d):
     parts = three_parts(spark, d)
@@ -316,6 +333,21 @@ PHI = TXH + ", phi AS (" + " UNION ALL ".join(
     for f, w in WEIGHTS.items()) + ")"
 
 
+@query("case_list", f"""WITH {SCORED}, c AS ((SELECT 0 AS position, row_id FROM sco WHERE "Class" = 1 AND p >= 0.5 ORDER BY p DESC, row_id LIMIT 1)
+UNION ALL (SELECT 1, row_id FROM sco WHERE "Class" = 0 AND p < 0.5 ORDER BY p, row_id LIMIT 1)
+UNION ALL (SELECT 2, row_id FROM sco ORDER BY abs(p - 0.5), row_id LIMIT 1))
+SELECT min(position)::INTEGER AS position, row_id AS row_index FROM c GROUP BY 2""")
+def case_list(spark, d):
+    """The picked cases as a JSON document, read back as an ordered list."""
+    from rarelens.sources.configs import case_indices
+    picked = explain.pick_cases(scored_tx(spark, d), 0.5)
+    order = F.when(F.col("name") == "true_positive", 0).when(F.col("name") == "true_negative", 1).otherwise(2)
+    entry = F.struct(order.alias("o"), F.struct("name", F.col("row_index").alias("index")).alias("case"))
+    document = picked.agg(F.to_json(F.struct(F.transform(
+        F.array_sort(F.collect_list(entry)), lambda e: e["case"]).alias("cases"))).alias("value"))  # three cases
+    return case_indices(document)
+
+
 @query("linear_attributions", f"WITH {PHI} SELECT row_id, feature, round(value, 6) AS value, round(phi, 6) AS phi FROM phi")
 def linear_attributions(spark, d):
     t = txh(spark, d)
@@ -337,17 +369,10 @@ def dependence_data(spark, d):
 @query("shapley_importance")
 def shapley_importance(spark, d):
     t = txh(spark, d).select("row_id", *WEIGHTS)
-    some = splits_sample(t)
-    phi = explain.shapley_attributions(some, t, MODEL, list(WEIGHTS), draws=8, background_size=50, score="fraud_probability")
+    phi = explain.shapley_attributions(t, t, MODEL, list(WEIGHTS), draws=4, background_size=200, score="fraud_probability")
     return rounded(explain.global_importance(phi))
 
 
-def splits_sample(t):
-    """The sampled attributions explain a fixed-size sample: that is the operator's parameter."""
-    from rarelens.operators.ingest import sample_exact
-    return sample_exact(t, ["row_id"], 100, "explain")
-
-
 @query("local_explanations")
 def local_explanations(spark, d):
     t = txh(spark, d)

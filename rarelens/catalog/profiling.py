@@ -54,12 +54,10 @@ def range_filter(spark, d):
         .select("row_id", "Amount", "Class")
 
 
-@query("derived_columns", f"""WITH {TX} SELECT row_id, "Amount" * 100 AS cents, CAST("Amount" AS INTEGER) AS whole
-FROM tx WHERE "Amount" - floor("Amount") <> 0.5""")
+@query("derived_columns", f'WITH {TX} SELECT row_id, round("Amount" * 100, 6) AS cents, CAST(floor("Amount") AS INTEGER) AS whole FROM tx')
 def derived_columns(spark, d):
-    # The two engines round halves of a cast differently, so the whole part is taken by rounding here.
-    t = tx(spark, d).withColumn("cents", F.col("Amount") * 100).withColumn("whole", F.round("Amount").cast("int"))
-    return t.where(F.col("Amount") - F.floor("Amount") != 0.5).drop("Time", "Class").select("row_id", "cents", "whole")
+    t = tx(spark, d).withColumn("cents", F.col("Amount") * 100).withColumn("whole", F.floor("Amount").cast("int"))
+    return rounded(t.drop("Time", "Class").select("row_id", "cents", "whole"))
 
 
 @query("numeric_projection", f'WITH {TX} SELECT row_id, user_id, round("Time", 6) AS "Time", "Amount", "Class" FROM tx')
@@ -156,12 +154,11 @@ def median_imputation(spark, d):
     return rounded(ingest.impute_median(v, "amount").select("row_id", "amount", "amount_filled"))
 
 
-@query("constant_fill", f"""WITH {FAULTY} SELECT row_id, coalesce(CASE WHEN isnan({NUMBER}) THEN NULL ELSE {NUMBER} END, 0.0) AS amount
-FROM faulty WHERE row_id % 19 <> 0 OR row_id % 13 = 0 OR row_id % 17 = 0""")
+@query("constant_fill", f"""WITH {FAULTY} SELECT row_id, coalesce(CASE WHEN isnan({NUMBER}) OR isinf({NUMBER}) THEN NULL ELSE {NUMBER} END, 0.0) AS amount FROM faulty""")
 def constant_fill(spark, d):
     v = ingest.coerce_numeric(faulty(spark, d), "raw", "amount")
-    finite = (F.col("row_id") % 19 != 0) | (F.col("row_id") % 13 == 0) | (F.col("row_id") % 17 == 0)
-    return ingest.fill_constant(v.select("row_id", "amount"), ["amount"]).where(finite)
+    finite = F.when(F.abs("amount") != float("inf"), F.col("amount"))
+    return ingest.fill_constant(v.select("row_id", finite.alias("amount")), ["amount"])
 
 
 @query("lookup_by_id", f"""WITH {TX}, ids AS (SELECT DISTINCT o_custkey * 11 AS row_id FROM orders)

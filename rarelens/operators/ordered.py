@@ -169,19 +169,24 @@ def hash_bucket(hashed: Column | str) -> Column:
     return F.substring(hashed, 1, HASH_PREFIX_DIGITS)
 
 
+def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),
+                by: Sequence[str] = ()) -> tuple[DataFrame, RangeBuckets]:
+    """keep + (column, _bucket, _value) for every present value, and the buckets used (one pass for all columns)."""
+    clean = df.select(*keep, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    plan = range_buckets(clean, columns, by)
+    items = [F.struct(F.lit(c).alias("column"), F.col(f"_bucket_{c}").alias("_bucket"), F.col(c).alias("_value"))
+             for c in columns]
+    rows = plan.apply(clean).select(*keep, F.explode(F.array(*items)).alias("_item")).select(*keep, "_item.*")
+    return rows.where(F.col("_value").isNotNull()), plan
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
               by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation, long form: by + (column, prob, n, value).
 
     NULL and NaN are skipped. A column with no values yields no rows.
     """
-    clean = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    plan = range_buckets(clean, columns, by)
-    items = [F.struct(F.lit(c).alias("column"), F.col(f"_bucket_{c}").alias("_bucket"), F.col(c).alias("_value"))
-             for c in columns]
-    rows = (plan.apply(clean).select(*by, F.explode(F.array(*items)).alias("_item"))
-            .select(*by, "_item.*").where(F.col("_value").isNotNull()))
-
+    rows, plan = long_values(df, columns, by, by)
     asked = double_array(sorted({float(p) for p in probabilities}))
 
     def positions(n: Column) -> Column:
@@ -209,13 +214,17 @@ def quantiles_wide(df: DataFrame, columns: Sequence[str], names: dict[str, float
     return long.groupBy(*by, "column").agg(*picks)
 
 
-def distinct_ranks(df: DataFrame, column: str, by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
-    """Average rank of every distinct value: by + (value, copies, average_rank, n, extras)."""
-    clean = df.where(F.col(column).isNotNull())
-    plan = range_buckets(clean, [column], by)
-    points = plan.apply(clean).groupBy(*by, f"_bucket_{column}", F.col(column).alias("value")).agg(
+def distinct_ranks(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),
+                   extra: Sequence[Column] = ()) -> DataFrame:
+    """Average rank of every distinct value of every column: (column, value, copies, average_rank, n, extras).
+
+    `extra` aggregates over `keep` columns. All columns share one set of shuffles.
+    """
+    rows, plan = long_values(df, columns, keep)
+    points = rows.groupBy("column", "_bucket", F.col("_value").alias("value")).agg(
         F.count(F.lit(1)).alias("copies"), *extra)
-    ranked = running_totals(points, by, f"_bucket_{column}", "value", ["copies"], few_offsets=plan.few_offsets(column))
+    few = all(plan.few_offsets(c) for c in columns)
+    ranked = running_totals(points, ["column"], "_bucket", "value", ["copies"], few_offsets=few)
     average = F.col("copies_upto") - (F.col("copies") - 1) / 2.0
     return ranked.withColumn("average_rank", average).withColumnRenamed("copies_total", "n").drop(
-        f"_bucket_{column}", "copies_upto")
+        "_bucket", "copies_upto")

@@ -53,11 +53,25 @@ def request_windows(df: DataFrame, width: str = "1 hour", slide: str | None = No
 
 def sessions(df: DataFrame, key: str, gap: str = "30 minutes", delay: str = "1 hour", ts: str = "ts",
              amount: str | None = None) -> DataFrame:
-    """Activity sessions per key, closed after a quiet gap."""
-    aggs = [F.count(F.lit(1)).alias("events")] + ([F.sum(amount).alias("amount")] if amount else [])
-    grouped = _watermarked(df, ts, delay).groupBy(F.session_window(ts, gap).alias("session"), key).agg(*aggs)
-    return grouped.select(key, F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
-                          "events", *(["amount"] if amount else []))
+    """Activity sessions per key, closed after a quiet gap.
+
+    A batch first builds partial sessions per (key, day) and then joins those that touch, so a key with a third
+    of all rows is spread over its days. A stream keeps one small state per open session.
+    """
+    def grouped(rows: DataFrame, window: Column, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+        out = rows.groupBy(window.alias("_s"), *by).agg(*aggs)
+        return out.withColumns({"session_start": F.col("_s.start"), "session_end": F.col("_s.end")}).drop("_s")
+
+    first = [F.count(F.lit(1)).alias("events")] + ([F.sum(amount).alias("amount")] if amount else [])
+    columns = [key, "session_start", "session_end", "events", *(["amount"] if amount else [])]
+    if df.isStreaming:
+        return grouped(_watermarked(df, ts, delay), F.session_window(ts, gap), [key], first).select(*columns)
+    daily = df.withColumn("_day", F.floor(F.unix_seconds(ts) / 86400))
+    parts = grouped(daily, F.session_window(ts, gap), [key, "_day"], first).drop("_day")
+    # A partial session already ends one gap after its last row, so its own length is the gap to the next.
+    length = F.expr("make_interval(0, 0, 0, 0, 0, 0, (unix_micros(session_end) - unix_micros(session_start)) / 1000000BD)")
+    again = [F.sum("events").alias("events")] + ([F.sum("amount").alias("amount")] if amount else [])
+    return grouped(parts, F.session_window("session_start", length), [key], again).select(*columns)
 
 
 # Drift -------------------------------------------------------------------------------------------------------

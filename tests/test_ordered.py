@@ -39,7 +39,7 @@ def test_quantiles_without_the_broadcast_bound(spark, monkeypatch):
 def test_average_ranks(spark):
     values = [3.0, 1.0, 3.0, 2.0, 3.0, 9.0, 1.0]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = {r["value"]: r["average_rank"] for r in ordered.distinct_ranks(df, "x").collect()}
+    got = {r["value"]: r["average_rank"] for r in ordered.distinct_ranks(df, ["x"]).collect()}
     want = dict(zip(values, pd.Series(values).rank()))
     assert got == want
 
@@ -113,6 +113,19 @@ def test_pearson_is_pairwise_complete(spark):
         assert r["value"] == pytest.approx(want.loc[r["column_a"], r["column_b"]])
 
 
+def test_complete_columns_keep_their_precision(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"a": 1e9 + rng.random(500), "b": rng.random(500), "c": [3.0] * 500})
+    pdf["d"] = pdf["a"] - 1e9 + pdf["b"]
+    df = spark.createDataFrame(pdf)
+    for r in correlate.pearson_matrix(df, ["a", "b", "d"]).collect():
+        assert r["value"] == pytest.approx(pdf[r["column_a"]].corr(pdf[r["column_b"]]), abs=1e-6)
+    for r in correlate.covariance_matrix(df, ["a", "b"]).collect():
+        assert r["value"] == pytest.approx(pdf[r["column_a"]].cov(pdf[r["column_b"]]), rel=1e-6, abs=1e-9)
+    constant = {(r[0], r[1]): r[2] for r in correlate.pearson_matrix(df, ["a", "c"]).collect()}
+    assert constant["a", "c"] is None
+
+
 def test_mutual_information_ranks_the_informative_feature_first(spark):
     rng = np.random.default_rng(2)
     y = rng.integers(0, 2, 600)

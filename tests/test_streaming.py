@@ -55,6 +55,22 @@ def test_unlabelled_scores_come_out_after_the_horizon(spark, tmp_path):
     assert {r["row_id"]: r["label"] for r in out} == {1: 1, 2: None}
 
 
+def test_sessions_across_days_equal_a_plain_walk(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(rng.integers(0, 3)) if i % 3 else 7, T0 + dt.timedelta(seconds=int(s)), 1.0)
+            for i, s in enumerate(rng.integers(0, 4 * 86400, 500))]
+    got = sorted((r["user_id"], r["session_start"], r["session_end"], r["events"], r["amount"]) for r in monitor.sessions(
+        spark.createDataFrame(rows, "user_id long, ts timestamp, amount double"), "user_id", "40 minutes", amount="amount").collect())
+    want, gap = [], dt.timedelta(minutes=40)
+    for user in sorted({r[0] for r in rows}):
+        for t in sorted(r[1] for r in rows if r[0] == user):
+            if want and want[-1][0] == user and t <= want[-1][2]:
+                want[-1] = (user, want[-1][1], t + gap, want[-1][3] + 1, want[-1][4] + 1.0)
+            else:
+                want.append((user, t, t + gap, 1, 1.0))
+    assert got == want
+
+
 def test_late_label_join_in_batch_respects_the_horizon(spark):
     scores = spark.createDataFrame([(1, at(0)), (2, at(0))], "row_id long, ts timestamp")
     labels = spark.createDataFrame([(1, at(24 * 6), 1), (2, at(24 * 8), 1)], "row_id long, label_ts timestamp, label int")
