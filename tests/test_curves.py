@@ -25,62 +25,80 @@ def cases():
             "all tied": ([1, 0, 1, 0, 0], [0.4] * 5), "single row": ([1], [0.3])}
 
 
-@pytest.mark.parametrize("name", list(cases()))
+def all_cases(spark):
+    """Every case as one group of a single table."""
+    rows = [(g, int(a), float(b)) for g, (y, s) in cases().items() for a, b in zip(y, s)]
+    return spark.createDataFrame(rows, "g string, label int, score double")
+
+
 @pytest.mark.parametrize("buckets", [2, 64])
-def test_curve_and_ranking(spark, name, buckets):
-    y, s = cases()[name]
-    curve = curves.score_curve(scored(spark, y, s), buckets=buckets)
-    got = sorted(tuple(r) for r in curves.with_counts(curve).select(
-        "threshold", "precision", "recall", "tp", "fp", "tn", "fn").collect())
-    want = brute.curve(y, s)
-    assert [g[0] for g in got] == [w[0] for w in want]
-    for g, w in zip(got, want):
-        assert g[3:] == w[3:] and g[1] == pytest.approx(w[1]) and g[2] == pytest.approx(w[2])
-    r = curves.ranking_metrics(curve).first()
-    for field, value in (("pr_auc", brute.average_precision(y, s)), ("roc_auc", brute.roc_auc(y, s))):
-        assert r[field] == (None if value is None else pytest.approx(value, abs=1e-12))
-
-
-@pytest.mark.parametrize("name", list(cases()))
-def test_policies(spark, name):
-    y, s = cases()[name]
-    curve, points = curves.score_curve(scored(spark, y, s)), brute.curve(y, s)
-    precision, recall = (lambda p: p[1]), (lambda p: p[2])
-
-    def check(df, want):
-        got = df.first()
-        assert got["threshold"] == (want[0] if want else None)
-        if want:
-            assert (got["tp"], got["fp"], got["tn"], got["fn"]) == want[3:]
-
-    for t in (0.3, 0.9):
-        reach = brute.best(points, precision, lambda p: p[2] >= t)
-        check(thresholds.recall_target(curve, target=t), reach or brute.best(points, recall))
-        hit = brute.best(points, recall, lambda p: p[1] >= t)
-        check(thresholds.precision_or_null(curve, target=t), hit)
-        check(thresholds.precision_or_best(curve, target=t), hit or brute.best(points, precision))
-        first = brute.best(points, lambda p: 0, lambda p: p[1] >= t)
-        check(thresholds.smallest_precise(curve, target=t), first or brute.best(points, precision))
-    check(thresholds.max_f_beta(curve), brute.best(points, lambda p: brute.f_beta(p, 2, True)))
-    check(thresholds.max_f_beta(curve, beta=1.0, undefined_as_zero=False), brute.best(points, lambda p: brute.f_beta(p, 1, False)))
-    check(thresholds.min_cost(curve, fn_cost=3.0), brute.best(points, lambda p: -(p[4] + 3.0 * p[6])))
-    for t in (0.0, 0.4, 1.0):
-        got = thresholds.recall_at_precision(curve, [t]).first()["recall"]
-        assert got == pytest.approx(max([p[2] for p in points if p[1] >= t] + [0.0]))
-        got = thresholds.precision_at_recall(curve, [t]).first()["precision"]
-        assert got == pytest.approx(max([p[1] for p in points if p[2] >= t] + ([1.0] if t <= 0 else [0.0])))
-
-
-def test_groups_are_independent(spark):
-    rows, parts = [], cases()
-    for name, (y, s) in parts.items():
-        rows += [(name, int(a), float(b)) for a, b in zip(y, s)]
-    df = spark.createDataFrame(rows, "g string, label int, score double")
-    got = {r["g"]: r for r in curves.ranking_metrics(curves.score_curve(df, by=["g"]), ["g"]).collect()}
-    for name, (y, s) in parts.items():
-        want = brute.average_precision(y, s)
-        assert got[name]["pr_auc"] == (None if want is None else pytest.approx(want))
-        assert got[name]["n"] == len(y)
+def test_curve_and_ranking_per_group(spark, buckets):
+    curve = curves.score_curve(all_cases(spark), by=["g"], buckets=buckets)
+    rows = curves.with_counts(curve).select("g", "threshold", "precision", "recall", "tp", "fp", "tn", "fn").collect()
+    ranking = {r["g"]: r for r in curves.ranking_metrics(curve, ["g"]).collect()}
+    for name, (y, s) in cases().items():
+        got, want = sorted(tuple(r)[1:] for r in rows if r["g"] == name), brute.curve(y, s)
+        assert [g[0] for g in got] == [w[0] for w in want]
+        for g, w in zip(got, want):
+            assert g[3:] == w[3:] and g[1] == pytest.approx(w[1]) and g[2] == pytest.approx(w[2])
+        for field, value in (("pr_auc", brute.average_precision(y, s)), ("roc_auc", brute.roc_auc(y, s))):
+            assert ranking[name][field] == (None if value is None else pytest.approx(value, abs=1e-12))
+        assert ranking[name]["n"] == len(y)
+
+
+def test_curve_when_offsets_may_not_be_broadcast(spark, monkeypatch):
+    from rarelens.operators import ordered
+    want = {tuple(r) for r in curves.score_curve(all_cases(spark), by=["g"]).collect()}
+    monkeypatch.setattr(ordered, "BROADCAST_OFFSET_LIMIT", 0)
+    assert {tuple(r) for r in curves.score_curve(all_cases(spark), by=["g"]).collect()} == want
+
+
+def test_ungrouped_curve(spark):
+    y, s = cases()["ties"]
+    got = curves.ranking_metrics(curves.score_curve(scored(spark, y, s))).first()
+    assert got["pr_auc"] == pytest.approx(brute.average_precision(y, s)) and got["roc_auc"] == pytest.approx(brute.roc_auc(y, s))
+
+
+@pytest.mark.parametrize("target", [0.3, 0.9])
+def test_policies_per_group(spark, target):
+    curve = curves.score_curve(all_cases(spark), by=["g"])
+    precision, recall, t = (lambda p: p[1]), (lambda p: p[2]), target
+    enough, reached = (lambda p: p[1] >= t), (lambda p: p[2] >= t)
+    rules = {
+        "recall_target": (dict(target=t), lambda c: brute.best(c, precision, reached) or brute.best(c, recall)),
+        "precision_or_null": (dict(target=t), lambda c: brute.best(c, recall, enough)),
+        "precision_or_best": (dict(target=t), lambda c: brute.best(c, recall, enough) or brute.best(c, precision)),
+        "precision_constraint": (dict(target=t), lambda c: brute.best(c, lambda p: 0, enough) or brute.best(c, precision)),
+        "max_f1": ({}, lambda c: brute.best(c, lambda p: brute.f_beta(p, 1, False))),
+        "max_fbeta": (dict(undefined_as_zero=True), lambda c: brute.best(c, lambda p: brute.f_beta(p, 2, True))),
+        "cost_based": (dict(fn_cost=3.0), lambda c: brute.best(c, lambda p: -(p[4] + 3.0 * p[6]))),
+    }
+    points = {name: brute.curve(y, s) for name, (y, s) in cases().items()}
+    for policy, (options, expected) in rules.items():
+        got = {r["g"]: r for r in thresholds.select_threshold(curve, policy, ["g"], **options).collect()}
+        for name, c in points.items():
+            want = expected(c)
+            assert got[name]["threshold"] == (want[0] if want else None), (policy, name)
+            if want:
+                assert tuple(got[name][k] for k in ("tp", "fp", "tn", "fn")) == want[3:], (policy, name)
+
+
+def test_side_by_side_policies_equal_the_single_ones(spark):
+    curve = curves.score_curve(all_cases(spark), by=["g"])
+    together = {(r["g"], r["policy"]): r["threshold"] for r in thresholds.all_policies(curve, ["g"]).collect()}
+    for policy in ("max_f1", "max_fbeta", "precision_constraint", "cost_based"):
+        for r in thresholds.select_threshold(curve, policy, ["g"]).collect():
+            assert together[r["g"], policy] == r["threshold"]
+
+
+def test_constrained_bests_per_group(spark):
+    curve = curves.score_curve(all_cases(spark), by=["g"])
+    points = {name: brute.curve(y, s) for name, (y, s) in cases().items()}
+    for r in thresholds.recall_at_precision(curve, [0.0, 0.4, 1.0], ["g"]).collect():
+        assert r["recall"] == pytest.approx(max([p[2] for p in points[r["g"]] if p[1] >= r["target"]] + [0.0]))
+    for r in thresholds.precision_at_recall(curve, [0.0, 0.4, 1.0], ["g"]).collect():
+        floor = [1.0] if r["target"] <= 0 else [0.0]
+        assert r["precision"] == pytest.approx(max([p[1] for p in points[r["g"]] if p[2] >= r["target"]] + floor))
 
 
 def test_sweep_counts_include_scores_on_the_grid(spark):
