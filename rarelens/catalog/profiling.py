@@ -246,11 +246,12 @@ def top_fraud_hours(spark, d):
     return profile.top_rates(profile.rate_by(txh(spark, d), "Hour"), "Hour")
 
 
-def describe_sql(source: str, column: str, name: str) -> str:
+def describe_sql(source: str, column: str, name: str, digits: int = 4) -> str:
     c = f'"{column}"'
-    qs = ", ".join(f"round(quantile_cont({c}, {p}), 6) AS q{int(p * 100):02d}" for p in (.01, .05, .25, .5, .75, .95, .99))
-    return f"""SELECT '{name}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
-round(min({c}), 6) AS min, round(max({c}), 6) AS max, round(skewness({c}), 6) AS skew, round(kurtosis({c}), 6) AS kurtosis,
+    r = lambda e, alias: f"round({e}, {digits}) AS {alias}"
+    qs = ", ".join(r(f"quantile_cont({c}, {p})", f"q{int(p * 100):02d}") for p in (.01, .05, .25, .5, .75, .95, .99))
+    return f"""SELECT '{name}' AS "column", count({c}) AS count, {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')},
+{r(f'min({c})', 'min')}, {r(f'max({c})', 'max')}, {r(f'skewness({c})', 'skew')}, {r(f'kurtosis({c})', 'kurtosis')},
 CASE WHEN skewness({c}) > 2 THEN 'heavy right skew' WHEN skewness({c}) > 1 THEN 'right skew' WHEN skewness({c}) < -1 THEN 'left skew'
 ELSE 'approximately symmetric' END AS skew_label, {qs} FROM {source}"""
 
@@ -258,14 +259,14 @@ ELSE 'approximately symmetric' END AS skew_label, {qs} FROM {source}"""
 @query("describe_columns", f"WITH {TXH} " + describe_sql("txh", "Amount", "Amount") + " UNION ALL "
        + describe_sql("txh", "Time", "Time") + " UNION ALL " + describe_sql("txh", "Amount_log1p", "Amount_log1p"))
 def describe_columns(spark, d):
-    return rounded(profile.describe(txh(spark, d), ["Amount", "Time", "Amount_log1p"]))
+    return rounded(profile.describe(txh(spark, d), ["Amount", "Time", "Amount_log1p"]), 4)
 
 
 @query("amount_profile", f"""WITH {FAULTY}, v AS (SELECT CASE WHEN isnan({NUMBER}) OR isinf({NUMBER}) THEN NULL ELSE {NUMBER} END AS v FROM faulty)
-SELECT * EXCLUDE ("column", skew_label), (SELECT round(avg(CAST(v >= 0 AS INTEGER)), 6) FROM v WHERE v IS NOT NULL) AS non_negative_ratio,
+SELECT * EXCLUDE ("column", skew_label), (SELECT round(avg(CAST(v >= 0 AS INTEGER)), 4) FROM v WHERE v IS NOT NULL) AS non_negative_ratio,
 count = 0 AS empty FROM (""" + describe_sql("v", "v", "v") + ")")
 def amount_profile(spark, d):
-    return rounded(profile.amount_profile(faulty(spark, d), "raw"))
+    return rounded(profile.amount_profile(faulty(spark, d), "raw"), 4)
 
 
 @query("null_profile", f"""WITH {FAULTY} SELECT 'row_id' AS "column", 0::BIGINT AS nulls, 0.0::DOUBLE AS null_ratio
