@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from rarelens.functions.features import stable_hash
 from rarelens.operators.ordered import skew_split_join
-from rarelens.session import materialize
+from rarelens.session import materialize, ship_with_tasks
+
+ship_with_tasks(__name__)
 
 MAX_PIVOTS = 256
 POINTS_PER_BLOCK = 4096

@@ -18,6 +18,9 @@ from rarelens.functions.features import hash_unit, stable_hash
 from rarelens.operators.ingest import sample_exact
 from rarelens.operators.ordered import join_on, quantiles
 from rarelens.plans.scoring import positive_score
+from rarelens.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 BACKGROUND_LIMIT = 10_000
 

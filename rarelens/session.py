@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,3 +60,8 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 def shuffle_width(spark: SparkSession) -> int:
     """How many reduce tasks a shuffle is planned with."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_with_tasks(module: str) -> None:
+    """Send a module's functions inside the tasks that use them, so workers need not have the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

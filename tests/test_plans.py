@@ -89,3 +89,18 @@ def test_no_registered_query_pairs_all_rows(spark, small):
         if not any(h in name for h in heavy):
             text = plan(run(spark, small))
             assert "NestedLoop" not in text and "Cartesian" not in text, name
+
+
+def test_task_functions_load_without_the_package(tmp_path):
+    """Workers started elsewhere cannot import the package; task code must travel with the task."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from rarelens.plans import explain
+    (tmp_path / "f").write_bytes(cloudpickle.dumps([neighbors._nearest, neighbors._to_pivots, explain._ridge]))
+    code = ("import pickle, numpy as np; n, p, r = pickle.load(open('f', 'rb')); x = np.arange(6.0).reshape(3, 2); "
+            "print(n(x, x, np.arange(3), 1)[1].tolist(), p(x, x[:1]).shape)")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert out.stdout.strip() == "[0, 1, 2] (3, 1)", out.stderr
