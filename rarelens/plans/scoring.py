@@ -115,9 +115,7 @@ def enforce_valid(checked: DataFrame) -> DataFrame:
 def score_rows(df: DataFrame, model: Transformer, policy: ThresholdPolicy, contract: FeatureContract,
                keep: Sequence[str] = (), model_version: str = "1", output: str = "fraud_probability") -> DataFrame:
     """Valid raw rows to `keep` + (model_version, threshold_policy, threshold_used, fraud_probability, predicted_label)."""
-    numeric = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in contract.raw if c not in keep],
-                        ) if not set(keep) & set(contract.raw) else df.withColumns(
-        {c: F.col(c).cast("double") for c in contract.raw})
+    numeric = df.withColumns({c: F.col(c).cast("double") for c in contract.raw})
     features = align_strict(engineer(numeric, negatives="reject"), contract.model,
                             [c for c in keep if c not in contract.model])
     scored = model.transform(features)
