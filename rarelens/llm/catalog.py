@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarelens.llm import byte_bpe, fingerprint, language, neighbours, packing, secrets, toxicity, url_filter
+from rarelens.llm import byte_bpe, fingerprint, language, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +88,12 @@ def language_id_pages(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("page_id", F.col("detected").alias("language"), F.round("confidence", 9).alias("confidence"))
 
 
+@query("op4_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    """What is left of every document without repeats of 100 bytes."""
+    return repeats.digests(table(spark, directory, "documents"))
+
+
 @query("op5_nearest_neighbours")
 def nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
     """The 5 nearest other vectors of each vector whose id is divisible by 50."""
@@ -114,6 +120,12 @@ def secret_scan(spark: SparkSession, directory: str) -> DataFrame:
                         F.sha2(secrets.joined("base_spans"), 256).alias("base_sha256"), secrets.joined("secret_spans").alias("spans"))
 
 
+@query("op8_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    """Components of documents that share 90 % of their 3-word shingles."""
+    return ngram_join.join_similar(table(spark, directory, "documents"))
+
+
 @query("op9_document_fingerprints")
 def document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
