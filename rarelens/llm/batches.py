@@ -19,11 +19,21 @@ from rarelens.session import ship_with_tasks
 ship_with_tasks(__name__)
 
 SLICE_BYTES = 4 << 20
+#: Arrow batches are bounded by bytes as well as by rows, so long texts don't make large ones.
+BATCH_BYTES = 16 << 20
 U = np.uint64
 
 
+def bound_batches(df: DataFrame) -> None:
+    """Smaller Arrow batches than the default 64 MB, unless the session sets a size of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == "67108864b":
+        conf.set(name, str(BATCH_BYTES))
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns `id` (long) and `text` (null texts are empty); other columns, whatever their names, are pruned."""
+    bound_batches(df)
     return df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 

@@ -31,8 +31,8 @@ from rarelens.session import shuffle_width, ship_with_tasks
 
 ship_with_tasks(__name__)
 
-CHUNK_BYTES = 8 << 20
-CHUNKS = "chunk long, part int, ids array<long>, counts binary, numbers binary, words array<binary>"
+CHUNK_BYTES = 4 << 20
+CHUNKS = "chunk long, part int, ids array<long>, counts binary, numbers binary, words binary"
 REPLIES = "chunk long, part int, sizes binary, tokens binary"
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _classes: list[np.ndarray] = []
@@ -120,10 +120,10 @@ def _cut(parts: int, words_wanted: bool):
                 begin, end = token[first[order]].tolist(), stop[first[order]].tolist()
                 edges = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
                 took = [p for p in range(parts) if edges[p] < edges[p + 1]]
-                words = [[whole[b:e] for b, e in zip(begin[edges[p]:edges[p + 1]], end[edges[p]:edges[p + 1]], strict=True)] for p in took]
+                words = [_bundle([whole[b:e] for b, e in zip(begin[edges[p]:edges[p + 1]], end[edges[p]:edges[p + 1]], strict=True)]) for p in took]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([chunk] * len(took), pa.int64()), pa.array(took, pa.int32()), pa.nulls(len(took), pa.list_(pa.int64())),
-                    pa.nulls(len(took), pa.binary()), pa.nulls(len(took), pa.binary()), pa.array(words, pa.list_(pa.binary()))],
+                    pa.nulls(len(took), pa.binary()), pa.nulls(len(took), pa.binary()), pa.array(words, pa.binary())],
                     names=["chunk", "part", "ids", "counts", "numbers", "words"])
             else:
                 # frequent words get small numbers, so the positions compress well
@@ -139,7 +139,7 @@ def _cut(parts: int, words_wanted: bool):
                     pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                     pa.array([counts.tobytes()], pa.binary()),
                     pa.array([_press(place[number].astype(np.uint32))], pa.binary()),
-                    pa.array([[_press(rank)]], pa.list_(pa.binary()))],
+                    pa.array([_press(rank)], pa.binary())],
                     names=["chunk", "part", "ids", "counts", "numbers", "words"])
     return run
 
@@ -155,6 +155,19 @@ def _expand(block: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).reshape(-1)
 
 
+def _bundle(words: list[bytes]) -> bytes:
+    sizes = np.fromiter(map(len, words), np.uint32, len(words)).tobytes()
+    block = b"".join([sizes, *words])
+    return len(words).to_bytes(8, "little") + len(block).to_bytes(8, "little") + pa.compress(block, codec="zstd", asbytes=True)
+
+
+def _unbundle(bundle: bytes) -> list[bytes]:
+    count, size = int.from_bytes(bundle[:8], "little"), int.from_bytes(bundle[8:16], "little")
+    block = pa.decompress(bundle[16:], decompressed_size=size, codec="zstd", asbytes=True)
+    stops = (4 * count + np.cumsum(np.frombuffer(block[:4 * count], np.uint32))).tolist()
+    return [block[a:b] for a, b in zip([4 * count, *stops], stops, strict=False)]
+
+
 def _merge_words(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
@@ -163,7 +176,7 @@ def _merge_words(ranks):
         for batch in batches:
             for chunk, part, words in zip(*(batch.column(n).to_pylist() for n in ("chunk", "part", "words")), strict=True):
                 got = []
-                for word in words:
+                for word in _unbundle(words):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = merge(word.decode("utf-8"))
@@ -205,7 +218,7 @@ def _reassemble(finish, names: list[str]):
                     continue
                 if held:
                     yield done()
-                held = [(chunk, ids, counts, numbers, words[0])]
+                held = [(chunk, ids, counts, numbers, words)]
             elif len(held) > 1 and held[-1][2] == part:
                 continue                                 # asked for twice by chunks of equal content
             else:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarelens.llm.batches import lowered, mix, slices
+from rarelens.llm.batches import bound_batches, lowered, mix, slices
 from rarelens.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -98,6 +98,7 @@ def with_evidence(rows: DataFrame, model: TextModel, text_col: str) -> DataFrame
     """Appends the text's log-likelihoods (null without a letter); all other columns pass through as they are."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     at = rows.columns.index(text_col)
+    bound_batches(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
