@@ -34,12 +34,13 @@ SIX = SEVEN[:-1]
 
 
 @query("table_fingerprint", """
-WITH h AS (SELECT ('0x' || substr(md5(event_id || '|' || epoch_us(ts) || '|' || user_id || '|' || event_type), 1, 15))::BIGINT AS h
-           FROM events)
+WITH v AS (SELECT [coalesce(length(x) || ':' || x, '-')
+                   FOR x IN [event_id::VARCHAR, epoch_us(ts)::VARCHAR, user_id::VARCHAR, event_type, props]] AS v FROM events),
+h AS (SELECT ('0x' || substr(md5(array_to_string(v, '')), 1, 15))::BIGINT AS h FROM v)
 SELECT count(*) AS row_count, bit_xor(h) AS xor_hash, CAST(sum(h::HUGEINT) AS VARCHAR) AS sum_hash FROM h""")
 def table_fingerprint(spark, d):
     e = tables.event_time(tables.sample_table(spark, d, "events"))
-    return tables.table_fingerprint(e, ["event_id", F.unix_micros("ts"), "user_id", "event_type"])
+    return tables.table_fingerprint(e, ["event_id", F.unix_micros("ts"), "user_id", "event_type", "props"])
 
 
 @query("target_only", f'WITH {TX} SELECT "Class", count(*) AS n FROM tx GROUP BY 1')

@@ -39,7 +39,7 @@ def score_by_id(spark, d):
 
 
 @query("serving_metadata", f"""WITH {TX} SELECT '1' AS model_version, 'locked_sample' AS threshold_policy, 0.5::DOUBLE AS threshold_used,
-5::BIGINT AS n_features, count(*) AS rows_served FROM tx""".replace("5::BIGINT", "6::BIGINT"))
+6::BIGINT AS n_features, count(*) AS rows_served FROM tx""")
 def serving_metadata(spark, d):
     meta = {"model_version": "1", "git_commit": "none", "train_date": "2024-01-30"}
     view = configs.serving_view(spark, POLICY, CONTRACT, meta)
@@ -87,6 +87,21 @@ def score_valid_rows(spark, d):
     return rounded(scoring.score_rows(good, MODEL, POLICY, CONTRACT, ["row_id"]).select("row_id", "fraud_probability"))
 
 
+FAULTY_SCORED = f"""ok AS (SELECT row_id, "Time", raw::DOUBLE AS "Amount" FROM faulty WHERE raw IS NOT NULL AND raw NOT IN ('n/a', 'NaN', 'Infinity')),
+{TXH.split(', txh AS', 1)[1].join(['txh AS', '']).replace('FROM tx)', 'FROM ok)')}
+SELECT f.row_id, round({P}, 6) AS fraud_probability, CASE WHEN {P} >= 0.5 THEN 'fraud' WHEN {P} IS NOT NULL THEN 'legit' END AS predicted_label,
+CASE WHEN raw IS NULL THEN 'Amount: missing' WHEN raw = 'n/a' THEN 'Amount: not numeric' WHEN raw = 'NaN' THEN 'Amount: NaN'
+WHEN raw = 'Infinity' THEN 'Amount: infinite' ELSE '' END AS reasons FROM faulty f LEFT JOIN txh USING (row_id)"""
+
+
+@query("score_faulty_batch", f"WITH {FAULTY}, {FAULTY_SCORED}")
+def score_faulty_batch(spark, d):
+    """Every row is there: scored, or without a score and with its reasons."""
+    raw = faulty(spark, d).drop("Amount").withColumnRenamed("raw", "Amount")
+    out = scoring.score_rows(raw, MODEL, POLICY, CONTRACT, ["row_id"], reasons=True)
+    return rounded(out.select("row_id", "fraud_probability", "predicted_label", F.array_join("reasons", "; ").alias("reasons")))
+
+
 # Monitoring --------------------------------------------------------------------------------------------------
 
 def requests(spark, d):
@@ -126,7 +141,7 @@ def latency_windows(spark, d):
 
 
 @query("user_sessions", """WITH e AS (SELECT user_id, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
-s AS (SELECT *, sum(CASE WHEN prev IS NULL OR t - prev >= 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS sid FROM e)
+s AS (SELECT *, sum(CASE WHEN prev IS NULL OR t - prev > 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS sid FROM e)
 SELECT user_id, min(t) // 1000000 AS session_start, (max(t) + 86400000000) // 1000000 AS session_end, count(*) AS events FROM s GROUP BY user_id, sid""")
 def user_sessions(spark, d):
     s = monitor.sessions(requests(spark, d), "user_id", "1 day")
@@ -225,6 +240,21 @@ def stream_scored(spark, d):
     return rounded(jobs.run_available(out, "scored"))
 
 
+FAULTY_EVENTS = """tx AS (SELECT event_id AS row_id, epoch_us(ts) / 1e6::DOUBLE - 1704067200 AS "Time", value AS "Amount", 0 AS "Class" FROM events), """
+
+
+@query("score_faulty_stream", f"WITH {FAULTY_EVENTS}{FAULTY[FAULTY.index('faulty AS'):]}, {FAULTY_SCORED}")
+def score_faulty_stream(spark, d):
+    """The same over a stream: no row is lost, no faulty row is labelled."""
+    e = jobs.stream_events(spark, d)
+    row_id = F.col("event_id")
+    amount = (F.when(row_id % 13 == 0, "n/a").when(row_id % 17 == 0, "NaN").when(row_id % 19 == 0, "Infinity")
+              .when(row_id % 23 == 0, F.lit(None)).otherwise(F.col("value").cast("string")))
+    raw = e.select(row_id.alias("row_id"), ((F.unix_micros("ts") / F.lit(1e6)) - F.lit(1704067200)).alias("Time"), amount.alias("Amount"))
+    out = scoring.score_rows(raw, MODEL, POLICY, CONTRACT, ["row_id"], reasons=True)
+    return rounded(jobs.run_available(out.select("row_id", "fraud_probability", "predicted_label", F.array_join("reasons", "; ").alias("reasons")), "faulty"))
+
+
 @query("stream_alert_windows", f"""WITH w AS (SELECT ({EPOCH}) // 3600 * 3600 AS s, count(*) AS requests, count(*) FILTER (value >= 100) AS alerts,
 count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1), m AS (SELECT max(epoch_us(ts)) AS m FROM events)
 SELECT s AS window_start, s + 3600 AS window_end, requests, alerts, errors, round(alerts::DOUBLE / requests, 6) AS alert_rate,

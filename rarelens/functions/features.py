@@ -85,7 +85,9 @@ def min_max(value: Column | str, low: Column | float, high: Column | float) -> C
 
 def decision_label(score: Column | str, threshold: Column | float,
                    positive: str = "fraud", negative: str = "legit") -> Column:
-    return F.when(_col(score) >= threshold, F.lit(positive)).otherwise(F.lit(negative))
+    """NULL for a score that is NULL or NaN."""
+    known = _col(score).isNotNull() & ~F.isnan(_col(score))
+    return F.when(known & (_col(score) >= threshold), F.lit(positive)).when(known, F.lit(negative))
 
 
 def class_name(label: Column | str, names: dict[int, str] | None = None) -> Column:
@@ -99,7 +101,7 @@ def class_name(label: Column | str, names: dict[int, str] | None = None) -> Colu
 
 def stable_hash(*keys: Column | str, seed: int | str = 0) -> Column:
     """Seeded md5 of a row key: the same order on every engine, cluster size and retry."""
-    return F.md5(F.concat_ws("|", *[_col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return F.md5(F.concat_ws("|", *[F.coalesce(_col(k).cast("string"), F.lit("<null>")) for k in keys], F.lit(str(seed))))
 
 
 def hash_unit(*keys: Column | str, seed: int | str = 0) -> Column:

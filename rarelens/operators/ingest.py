@@ -35,7 +35,10 @@ def binary_target(df: DataFrame, column: str, output: str = "Class") -> DataFram
     Row order carries no meaning in a distributed table, so classes are ordered by value.
     """
     if isinstance(df.schema[column].dataType, (T.NumericType, T.BooleanType)):
-        return df.withColumn(output, F.col(column).cast("int"))
+        number = F.col(column).cast("double")
+        odd = number.isNotNull() & ~F.isnan(number) & (number != F.floor(number))
+        value = F.when(~F.isnan(number), number.cast("int"))
+        return df.withColumn(output, F.when(odd, F.raise_error(F.lit(f"{column} has values that are not classes")).cast("int")).otherwise(value))
     # Three values are enough to tell "exactly two" from "more".
     values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(3).collect())
     if len(values) == 2:

@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 
 from rarelens.session import shuffle_width
 
-# Up to this many groups, a per-group side table (a few hundred bytes per group) may be broadcast.
-BROADCAST_GROUP_LIMIT = 20_000
-# Up to this many (group, bucket) lines of some fifty bytes, the offset table may be broadcast.
-BROADCAST_OFFSET_LIMIT = 500_000
+# Up to this many lines of some fifty bytes, a side table with a few lines per group may be broadcast.
+BROADCAST_LINE_LIMIT = 500_000
+# Edges come from about this many rows at least; a table that is estimated to hold fewer is read whole.
+EDGE_SAMPLE = 1_000_000
+# A bucket is planned to hold about this many rows of a large table.
+BUCKET_ROWS = 4_000_000
 HASH_PREFIX_DIGITS = 4
 
 
@@ -62,12 +64,12 @@ class RangeBuckets:
     edges: dict[str, list[float]]
     groups: int
 
-    @property
-    def few_groups(self) -> bool:
-        return self.groups <= BROADCAST_GROUP_LIMIT
+    def few_lines(self, per_group: int) -> bool:
+        """Whether a table of `per_group` lines for every group and column is known to be small."""
+        return self.groups * len(self.edges) * per_group <= BROADCAST_LINE_LIMIT
 
     def few_offsets(self, column: str) -> bool:
-        return self.groups * (len(self.edges[column]) + 2) <= BROADCAST_OFFSET_LIMIT
+        return self.groups * (len(self.edges[column]) + 2) <= BROADCAST_LINE_LIMIT
 
     def apply(self, df: DataFrame, prefix: str = "_bucket_") -> DataFrame:
         """Add `<prefix><column>`: the number of edges at or below the value (binary search on the JVM)."""
@@ -85,22 +87,33 @@ def bucketize(df: DataFrame, column: str, edges: Sequence[float], output: str) -
     return stage.transform(df).withColumn(output, F.coalesce(F.col(output).cast("int"), F.lit(-1)))
 
 
+def estimated_rows(df: DataFrame) -> float:
+    """The optimizer's estimate, from file sizes; it reads nothing. Too high an estimate only means more buckets."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size / (8 + sum(f.dataType.jsonValue() in ("string", "binary") and 20 or 8 for f in df.schema.fields))
+
+
 def bucket_count(df: DataFrame) -> int:
-    return min(max(4 * shuffle_width(df.sparkSession), 32), 2048)
+    """Enough buckets for every reduce task, and more as the table grows."""
+    grown = min(estimated_rows(df) / BUCKET_ROWS, 250_000)
+    return int(max(min(4 * shuffle_width(df.sparkSession), 2048), 32, grown))
 
 
 def range_buckets(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
                   buckets: int | None = None) -> RangeBuckets:
-    """One column-pruned pass that sketches the quantiles of all columns.
+    """One column-pruned pass that sketches the quantiles of all columns from a sample of the rows.
 
-    Only the edges (at most 2048 doubles per column) reach the driver.
+    The sample is of bounded size, so the one task that merges the sketches gets no more from a larger table. Edges only
+    balance the work: a poor sample makes uneven buckets, never a wrong result. Only the edges reach the driver.
     """
     n = buckets or bucket_count(df)
     probabilities = [i / n for i in range(1, n)]
     asked = double_array(probabilities)
     sketches = [F.percentile_approx(c, asked, 10 * n).alias(f"e{i}") for i, c in enumerate(columns)]
     groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
-    row = df.agg(*sketches, groups.alias("groups")).first()
+    share = max(EDGE_SAMPLE, 40 * n) / max(estimated_rows(df), 1.0)
+    sampled = df.where(F.rand(17) < share) if share < 1 and not by else df
+    row = sampled.agg(*sketches, groups.alias("groups")).first()
     edges = {}
     for i, c in enumerate(columns):
         found = {float(v) for v in (row[f"e{i}"] or [])}
@@ -133,7 +146,7 @@ def running_totals(points: DataFrame, by: Sequence[str], bucket: str, order: str
 
 
 def order_statistics(rows: DataFrame, by: Sequence[str], bucket: str, value: str,
-                     positions: Callable[[Column], Column], few_groups: bool = True) -> DataFrame:
+                     positions: Callable[[Column], Column], few_lines: bool = True) -> DataFrame:
     """The values at given 0-based positions of each group's sorted values.
 
     `positions(n)` maps a group's row count to an array of struct(tag, pos). Bucket counts locate the few
@@ -153,8 +166,8 @@ def order_statistics(rows: DataFrame, by: Sequence[str], bucket: str, value: str
                     & (w["pos"] < F.col("_before") + F.col("_rows")))
     wanted = located.select(*keys, "_before", "n", F.explode(here).alias("_want")).select(
         *keys, "_before", "n", F.col("_want.tag").alias("tag"), F.col("_want.pos").alias("pos"))
-    # A handful of rows per group: broadcast while the number of groups is known to be small.
-    bounded = F.broadcast if few_groups else (lambda d: d)
+    # Broadcast while the number of wanted positions of all groups is known to be small.
+    bounded = F.broadcast if few_lines else (lambda d: d)
     near = join_on(rows, bounded(wanted.select(*keys).distinct()), keys, "left_semi")
     inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     ranked = (near.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies"))
@@ -196,7 +209,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
                 rounded((n - 1) * p).cast("bigint").alias("pos")))
         return F.concat(side("low", F.floor), side("high", F.ceil))
 
-    found = order_statistics(rows, [*by, "column"], "_bucket", "_value", positions, plan.few_groups)
+    found = order_statistics(rows, [*by, "column"], "_bucket", "_value", positions, plan.few_lines(2 * len(probabilities)))
     low = F.max(F.when(F.col("tag.side") == "low", F.col("value")))
     high = F.max(F.when(F.col("tag.side") == "high", F.col("value")))
     at = (F.col("n") - 1) * F.col("prob")

@@ -34,9 +34,13 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False) -> DataFra
 
 def class_balance(df: DataFrame, target: str = "Class", positive: int | str = 1) -> DataFrame:
     """One row: ordered labels, counts, percents, fraud rate (%), majority:minority ratio, one positive per N."""
-    counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).cast("string").alias("label")).agg(
-        F.count(F.lit(1)).alias("count"))
-    pairs = F.array_sort(F.collect_list(F.struct("label", "count")))  # one entry per class
+    number = F.col(target).try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 2.0 ** 53)
+    label = F.when(whole, number.cast("bigint").cast("string")).otherwise(F.col(target).cast("string"))
+    counts = df.where(F.col(target).isNotNull()).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("count"))
+    # one entry per class: numbers by value, then text
+    value = F.col("label").try_cast("double")
+    pairs = F.array_sort(F.collect_list(F.struct(value.isNull().alias("text"), value.alias("value"), "label", "count")))
     total = F.sum("count")
     agg = counts.agg(
         pairs.alias("_pairs"), total.alias("total"), F.max("count").alias("_max"), F.min("count").alias("_min"),
@@ -187,6 +191,11 @@ def _bounds(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
                                F.count(column).alias("_n"))
 
 
+def _finite(column: str) -> Column:
+    """Present and neither NaN nor infinite."""
+    return F.col(column).isNotNull() & (F.abs(F.col(column).cast("double")) < float("inf"))
+
+
 def _cell(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Equal-width cell; the last cell is closed, a constant column falls in the middle of a unit range."""
     flat = high == low
@@ -201,7 +210,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None, shar
     otherwise each class spans its own range.
     """
     keys = [by] if by else []
-    clean = df.where(F.col(column).isNotNull())
+    clean = df.where(_finite(column))
     if by and not shared_range:
         stats = _bounds(clean, column, keys)
         rows = join_on(clean, F.broadcast(stats) if _few(clean, by) else stats, keys)
@@ -242,10 +251,11 @@ def hour_histogram(df: DataFrame, hour: str = "Hour") -> DataFrame:
 
 def box_summary(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (last data points inside the fences) and outlier count per class."""
+    df = df.where(_finite(column))
     box = quantiles_wide(df, [column], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]).drop("column")
     reach = (F.col("q3") - F.col("q1")) * WHISKER
     fenced = box.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
-    rows = df.select(by, column).where(F.col(column).isNotNull())
+    rows = df.select(by, column)
     joined = join_on(rows, F.broadcast(fenced) if _few(df, by) else fenced, [by])
     v = F.col(column)
     inside = (v >= F.col("_low")) & (v <= F.col("_high"))

@@ -35,7 +35,7 @@ def counts_at(df: DataFrame, thresholds: Sequence[float], label: str = "label",
     cells = bucketize(as_scored(df, label, score, by), "score", grid, "_cell")
     counted = cells.groupBy(*by, "_cell").agg(F.sum("label").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
     summed = counted.groupBy(*by).agg(
-        F.sum("_pos").alias("_p"), F.sum("_cnt").alias("_n"),
+        F.coalesce(F.sum("_pos"), F.lit(0)).alias("_p"), F.coalesce(F.sum("_cnt"), F.lit(0)).alias("_n"),
         F.collect_list(F.struct("_cell", "_pos", "_cnt")).alias("_cells"))
     rung = F.col("_rank") + 1
 

@@ -113,18 +113,28 @@ def enforce_valid(checked: DataFrame) -> DataFrame:
 
 
 def score_rows(df: DataFrame, model: Transformer, policy: ThresholdPolicy, contract: FeatureContract,
-               keep: Sequence[str] = (), model_version: str = "1", output: str = "fraud_probability") -> DataFrame:
-    """Valid raw rows to `keep` + (model_version, threshold_policy, threshold_used, fraud_probability, predicted_label)."""
-    numeric = df.withColumns({c: F.col(c).cast("double") for c in contract.raw})
+               keep: Sequence[str] = (), model_version: str = "1", output: str = "fraud_probability",
+               reasons: bool = False) -> DataFrame:
+    """Raw rows to `keep` + (model_version, threshold_policy, threshold_used, fraud_probability, predicted_label).
+
+    Every row is validated first. A row that cannot be scored keeps its place with a NULL probability and label; `reasons`
+    appends why (an empty array for scored rows), so callers can route it to quarantine.
+    """
+    checked = df.withColumn("_reasons", row_reasons(contract))
+    sound = F.size("_reasons") == 0
+    # A stand-in value lets models that reject NULL pass over the row; its score is dropped below.
+    numeric = checked.withColumns({c: F.when(sound, F.col(c).try_cast("double")).otherwise(0.0) for c in contract.raw if c not in keep})
+    numeric = numeric.withColumns({c: F.when(sound, F.col(c).try_cast("double")) for c in contract.raw if c in keep})
     features = align_strict(engineer(numeric, negatives="reject"), contract.model,
-                            [c for c in keep if c not in contract.model])
+                            [c for c in [*keep, "_reasons"] if c not in contract.model])
     scored = model.transform(features)
     if output not in scored.columns:
         scored = positive_score(scored, output)
     return scored.select(
         *keep, F.lit(model_version).alias("model_version"), F.lit(policy.name).alias("threshold_policy"),
-        F.lit(float(policy.threshold)).alias("threshold_used"), F.col(output).alias("fraud_probability"),
-        decision_label(F.col(output), float(policy.threshold)).alias("predicted_label"))
+        F.lit(float(policy.threshold)).alias("threshold_used"), F.when(sound, F.col(output)).alias("fraud_probability"),
+        F.when(sound, decision_label(F.col(output), float(policy.threshold))).alias("predicted_label"),
+        *([F.col("_reasons").alias("reasons")] if reasons else []))
 
 
 def score_by_id(table: DataFrame, ids: DataFrame, model: Transformer, policy: ThresholdPolicy,

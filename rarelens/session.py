@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -30,13 +31,19 @@ def build_session(app: str = "rarelens", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach: `spark.checkpoint.dir`, or what `setCheckpointDir` was given.
 
-    Only a session without `spark.checkpoint.dir` (a local test) gets a folder of its own.
+    Only a local session without either gets a temporary folder; on a cluster executors would not share it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     local = tempfile.mkdtemp(prefix="rarelens-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local

@@ -80,9 +80,9 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
 
 
 def row_fingerprint(*columns: Column | str) -> Column:
-    """60 bits of a row digest as a long."""
+    """60 bits of a row digest as a long. Values carry their length and NULL a mark, so neighbours don't run together."""
     parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]))
+    digest = F.md5(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 

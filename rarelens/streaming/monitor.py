@@ -55,8 +55,9 @@ def sessions(df: DataFrame, key: str, gap: str = "30 minutes", delay: str = "1 h
              amount: str | None = None) -> DataFrame:
     """Activity sessions per key, closed after a quiet gap.
 
-    A batch first builds partial sessions per (key, day) and then joins those that touch, so a key with a third
-    of all rows is spread over its days. A stream keeps one small state per open session.
+    Rows of a key in one slot as wide as the gap always share a session. So a batch first adds up slots (combined before
+    the shuffle, a hot key has one line per slot and task) and then joins slots that touch; a pause of exactly the gap
+    does not end a session. A stream keeps one small state per open session.
     """
     def grouped(rows: DataFrame, window: Column, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
         out = rows.groupBy(window.alias("_s"), *by).agg(*aggs)
@@ -66,8 +67,10 @@ def sessions(df: DataFrame, key: str, gap: str = "30 minutes", delay: str = "1 h
     columns = [key, "session_start", "session_end", "events", *(["amount"] if amount else [])]
     if df.isStreaming:
         return grouped(_watermarked(df, ts, delay), F.session_window(ts, gap), [key], first).select(*columns)
-    daily = df.withColumn("_day", F.floor(F.unix_seconds(ts) / 86400))
-    parts = grouped(daily, F.session_window(ts, gap), [key, "_day"], first).drop("_day")
+    step = F.expr(f"unix_micros(timestamp_micros(0) + interval {gap})")
+    slots = df.where(F.col(ts).isNotNull()).groupBy(key, F.floor(F.unix_micros(ts) / step).alias("_slot")).agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("_last"), *first)
+    parts = slots.withColumn("session_end", F.timestamp_micros(F.unix_micros("_last") + step))
     # A partial session already ends one gap after its last row, so its own length is the gap to the next.
     length = F.expr("make_interval(0, 0, 0, 0, 0, 0, (unix_micros(session_end) - unix_micros(session_start)) / 1000000BD)")
     again = [F.sum("events").alias("events")] + ([F.sum("amount").alias("amount")] if amount else [])
@@ -140,16 +143,17 @@ def psi_windows(live: DataFrame, baseline: DriftBaseline, width: str = "1 day",
 
 def performance_windows(scored: DataFrame, threshold: float, width: str = "1 day", delay: str = "1 hour",
                         ts: str = "ts", label: str = "label", score: str = "score") -> DataFrame:
-    """Confusion counts and rates per window of labelled scores."""
+    """Confusion counts and rates of labelled scores per window; the alert rate is that of all scores."""
     said, true = F.col(score) >= F.lit(float(threshold)), F.col(label) == 1
     count = lambda c: F.count(F.when(c, 1))
     c = Confusion.of()
     grouped = _watermarked(scored, ts, delay).groupBy(F.window(ts, width).alias("window")).agg(
         count(said & true).alias("tp"), count(said & ~true).alias("fp"),
-        count(~said & ~true).alias("tn"), count(~said & true).alias("fn"))
+        count(~said & ~true).alias("tn"), count(~said & true).alias("fn"),
+        count(said).alias("_alerts"), F.count(score).alias("_scored"))
     return grouped.select(
         F.col("window.start").alias("window_start"), "tp", "fp", "tn", "fn", c.precision.alias("precision"),
-        c.recall.alias("recall"), c.f1.alias("f1"), c.f_beta(2.0).alias("f2"), ratio(c.alerts, c.total).alias("alert_rate"))
+        c.recall.alias("recall"), c.f1.alias("f1"), c.f_beta(2.0).alias("f2"), ratio(F.col("_alerts"), F.col("_scored")).alias("alert_rate"))
 
 
 def performance_drift(windows: DataFrame, baseline: Mapping[str, float]) -> DataFrame:

@@ -55,7 +55,7 @@ def test_curve_keeps_offsets_on_the_broadcast_side(spark, small):
 
 def test_curve_partitions_once_for_join_and_window(spark, small, monkeypatch):
     from rarelens.operators import ordered
-    monkeypatch.setattr(ordered, "BROADCAST_OFFSET_LIMIT", 0)
+    monkeypatch.setattr(ordered, "BROADCAST_LINE_LIMIT", 0)
     text = plan(curves.score_curve(tables.scored_lineitems(spark, small)))
     join, window = text.index("SortMergeJoin"), text.index("Window")
     assert window < join and "Exchange" not in text[window:join]
