@@ -7,10 +7,11 @@ A byte is removed when a string of `length` bytes that covers it also starts ear
    window it stands for. About three anchors come on a hundred bytes; only their digests, places and ids are shuffled, and
    of equal contexts in one slice of texts only the first.
 2. A context that is equal to an earlier one is a repeat as a whole. Anchors with several different contexts are buckets.
-3. The contexts of a bucket are read from the texts and sorted together: prefix doubling gives the suffix array of a batch
-   of buckets, its ranks the common prefixes of neighbours. A stack scan over these walks the tree of common-prefix
-   intervals of `length` and more; an interval whose occurrences follow different bytes is a maximal repeat (within the
-   contexts), reported with all its occurrences. Every occurrence but the earliest is removed.
+3. The contexts of a bucket are read from the texts, and an enhanced suffix array of a batch of buckets is built: suffixes
+   in order, their common prefixes and the bytes before them. A stack scan walks the tree of common-prefix intervals of
+   `length` and more. Intervals whose occurrences follow different bytes are the maximal repeats (within the contexts),
+   reported with all occurrences by `repeat_groups`; for removal each occurrence but the earliest is covered as far as
+   its longest interval with an earlier one reaches.
 4. Removed ranges of a document are merged and cut out.
 
 Skew: exact copies collapse in steps 1 and 2. An anchor with very many different contexts (the edge of a passage that is
@@ -203,51 +204,62 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class SuffixArray:
-    """Suffixes of at least `length` bytes of texts laid side by side, sorted by their first `reach` bytes.
+    """Enhanced suffix array of texts laid side by side, without what cannot start a maximal repeat.
 
-    Bytes are raised by one and every text ends in a 0, so that a text that ends sorts first; UTF-8 has no byte 255.
-    `order`: their places (the ends count); `common`: bytes that each shares with the one before; `left`: the byte before
-    it, or a value of its own at the start of a text.
+    Suffixes are grouped by the digest of their first `length` bytes. A group of one, and a group whose suffixes all follow
+    the same byte, is left out: its repeats are parts of those one byte to the left. The others are sorted by group and
+    then by their bytes, of which the end of a text is the smallest (bytes are raised by one; UTF-8 has no byte 255).
+    `places`: where the suffixes start; `common`: bytes that each shares with the one before; `left`: the byte before it,
+    or a value of its own at the start of a text.
     """
 
-    def __init__(self, pieces: np.ndarray, sizes: np.ndarray, length: int):
-        stops = np.cumsum(sizes + 1)
-        n = len(pieces) + len(sizes)
-        data = np.zeros(n, np.uint8)
-        inside = np.ones(n, bool)
-        inside[stops - 1] = False
-        data[inside] = pieces + np.uint8(1)
-        starts = stops - sizes - 1
-        room = np.repeat(stops - 1, sizes + 1) - np.arange(n)
-        reach = max(16, int(sizes.max()))
-        padded = np.concatenate([data, np.zeros(2 * reach + 16, np.uint8)]).astype(U)
-        word = padded[:-1] << U(8) | padded[1:]
-        raw = {1: padded, 2: word}
-        raw[4] = word[:-2] << U(16) | word[2:]
-        raw[8] = raw[4][:-4] << U(32) | raw[4][4:]
-        m = n + reach + 1
-        _, rank = np.unique(raw[8][:m], return_inverse=True)
-        ranks, size = {}, 8
-        while 2 * size <= reach:
-            wide = np.concatenate([rank, np.zeros(size, rank.dtype)])
-            _, rank = np.unique(rank.astype(U) * U(m + 1) + wide[size:size + m].astype(U), return_inverse=True)
-            size *= 2
-            ranks[size] = rank
-        places = np.flatnonzero(room >= length)
-        tail = np.minimum(places + reach - size, m - 1)
-        order = np.lexsort((rank[tail], rank[places]))
-        self.order = places[order]
-        one, two = self.order[:-1], self.order[1:]
-        same = np.zeros(len(one), np.int64)
-        for step in sorted([*ranks, 1, 2, 4, 8], reverse=True):
-            table = ranks.get(step, raw.get(step))
-            a, b = np.minimum(one + same, len(table) - 1), np.minimum(two + same, len(table) - 1)
-            same += step * ((table[a] == table[b]) & (same + step <= 2 * reach))
-        same = np.minimum(same, np.minimum(room[one], room[two]))
-        self.common = np.concatenate([[0], same]) if len(self.order) else np.zeros(0, np.int64)
-        first = np.zeros(n, bool)
-        first[starts] = True
-        self.left = np.where(first[self.order], -1 - self.order, data[self.order - 1].astype(np.int64))
+    def __init__(self, texts: list[bytes], length: int):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.stops = np.cumsum(sizes)
+        self.starts = self.stops - sizes
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        self.size = len(data)
+        self.places = self.left = self.common = np.zeros(0, np.int64)
+        room = np.repeat(self.stops, sizes) - np.arange(len(data))
+        begin = np.flatnonzero(room >= length)
+        if not len(begin):
+            return
+        digest = Rolling(data).of(begin, begin + length)
+        order = np.argsort(digest, kind="stable")
+        begin, digest = begin[order], digest[order]
+        first = np.zeros(len(data), bool)
+        first[self.starts[sizes > 0]] = True
+        left = np.where(first[begin], -1 - begin, data[begin - 1].astype(np.int64))
+        fresh = np.flatnonzero(np.concatenate([[True], digest[1:] != digest[:-1]]))
+        wanted = np.minimum.reduceat(left, fresh) != np.maximum.reduceat(left, fresh)
+        group = np.repeat(np.arange(len(fresh)), np.diff(np.append(fresh, len(begin))))
+        keep = wanted[group]
+        begin, left, group = begin[keep], left[keep], group[keep]
+        if not len(begin):
+            return
+        reach = int(room[begin].max())
+        wide = length + -(-max(reach - length, 1) // 8) * 8
+        at = np.arange(wide)
+        rows = np.zeros((len(begin), wide), np.uint8)
+        for i in range(0, len(begin), 65536):
+            part = begin[i:i + 65536, None] + at
+            inside = at < room[begin[i:i + 65536], None]
+            rows[i:i + 65536] = np.where(inside, data[np.minimum(part, len(data) - 1)] + np.uint8(1), 0)
+        words = np.ascontiguousarray(rows[:, length:]).view(">u8").astype(U)
+        order = np.lexsort((*words.T[::-1], group))
+        self.places, self.left = begin[order], left[order]
+        rows = rows[order]
+        differs = rows[1:] != rows[:-1]
+        same = np.where(differs.any(axis=1), differs.argmax(axis=1), wide)
+        here = room[self.places]
+        self.common = np.concatenate([[0], np.minimum(same, np.minimum(here[1:], here[:-1]))])
+
+    def runs(self, length: int) -> list[tuple[int, int]]:
+        """Ranges of suffixes that share at least `length` bytes."""
+        cut = np.flatnonzero(self.common < length)
+        ends = np.append(cut[1:], len(self.common))
+        pick = ends - cut > 1
+        return list(zip(cut[pick].tolist(), ends[pick].tolist(), strict=True))
 
 
 def intervals(common: list[int], left: list[int], length: int) -> list[tuple[int, int, int]]:
@@ -278,90 +290,116 @@ def intervals(common: list[int], left: list[int], length: int) -> list[tuple[int
 
 
 def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(shared bytes, occurrences as (text, offset)) of the maximal repeats of at least `length` bytes among texts.
+    """(shared bytes, occurrences as (text, offset)) of the maximal repeats of at least `length` bytes among texts."""
+    array = SuffixArray(texts, length)
+    text_of = np.searchsorted(array.stops, array.places, "right")
+    offset = (array.places - array.starts[text_of]).tolist() if len(array.places) else []
+    text_of = text_of.tolist()
+    for a, b in array.runs(length):
+        for shared, first, last in intervals(array.common[a:b].tolist(), array.left[a:b].tolist(), length):
+            yield shared, [(text_of[a + i], offset[a + i]) for i in range(first, last + 1)]
+
 
-    Windows that occur once are found by their hashes and left out before anything is sorted.
+def later_occurrences(common: list[int], rank: list[int], length: int) -> Iterator[tuple[int, int]]:
+    """(suffix, bytes) of a run: how far each suffix but the earliest repeats an earlier one.
+
+    The stack scan closes intervals from the inside; each hands on its earliest suffix, and the suffix that gives way repeats
+    the interval's shared bytes. So every suffix is named at most once, in the longest interval that has an earlier one.
     """
-    sizes = np.array([len(t) for t in texts], np.int64)
-    stops = np.cumsum(sizes)
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    if len(data) < length:
-        return
-    room = np.repeat(stops, sizes) - np.arange(len(data))
-    begin = np.flatnonzero(room >= length)
-    digest = Rolling(data).of(begin, begin + length)
-    _, back, count = np.unique(digest, return_inverse=True, return_counts=True)
-    begin = begin[count[back] > 1]
-    if not len(begin):
-        return
-    # runs of bytes under repeated windows; a run is a text of its own
-    run_first = np.flatnonzero(np.concatenate([[True], (np.diff(begin) > 1) | (room[begin[:-1]] == length)]))
-    run_start, run_stop = begin[run_first], begin[np.append(run_first[1:] - 1, len(begin) - 1)] + length
-    run_size = run_stop - run_start
-    source = np.repeat(run_start - (np.cumsum(run_size) - run_size), run_size) + np.arange(run_size.sum())
-    array = SuffixArray(data[source], run_size, length)
-    place_of = np.repeat(run_start - (np.cumsum(run_size + 1) - run_size - 1), run_size + 1) + np.arange(run_size.sum() + len(run_size))
-    starts_run = np.flatnonzero(array.common < length)
-    ends_run = np.append(starts_run[1:], len(array.order))
-    low, high = np.minimum.reduceat(array.left, starts_run), np.maximum.reduceat(array.left, starts_run)
-    wanted = np.flatnonzero((ends_run - starts_run > 1) & (low != high))
-    text_of = np.repeat(np.arange(len(texts)), sizes)
-    text_start = stops - sizes
-    for w in wanted.tolist():
-        a, b = int(starts_run[w]), int(ends_run[w])
-        places = place_of[array.order[a:b]]
-        for shared, first, last in intervals(array.common[a:b].tolist(), array.left[a:b].tolist(), length):
-            at = places[first:last + 1]
-            own = text_of[at]
-            yield shared, list(zip(own.tolist(), (at - text_start[own]).tolist(), strict=True))
+    stack: list[list] = []                               # shared, earliest suffix
+    for i in range(1, len(rank) + 1):
+        here = common[i] if i < len(rank) else 0
+        best = i - 1
+        while stack and stack[-1][0] > here:
+            shared, other = stack.pop()
+            if rank[other] == rank[best]:
+                continue
+            if rank[other] < rank[best]:
+                best, other = other, best
+            yield other, shared
+        if stack and stack[-1][0] == here:
+            other = stack[-1][1]
+            if rank[other] != rank[best]:
+                if rank[other] < rank[best]:
+                    best, other = other, best
+                yield other, here
+            stack[-1][1] = best
+        elif here >= length:
+            stack.append([here, best])
+
+
+def repeated_ranges(texts: list[bytes], ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first, stop): merged ranges of each text that repeat something earlier; texts start at `starts` of documents `ids`."""
+    array = SuffixArray(texts, length)
+    place = array.places
+    text_of = np.searchsorted(array.stops, place, "right")
+    own, at = ids[text_of], starts[text_of] + place - array.starts[text_of]
+    order = np.lexsort((at, own))
+    step = np.ones(len(order), np.int64)
+    if len(order):
+        step[1:] = (own[order][1:] != own[order][:-1]) | (at[order][1:] != at[order][:-1])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(step)                        # contexts of one document overlap: one place has one rank
+    hits: list[tuple[int, int]] = []
+    for a, b in array.runs(length):
+        hits += [(a + i, n) for i, n in later_occurrences(array.common[a:b].tolist(), rank[a:b].tolist(), length)]
+    depth = np.zeros(array.size + 1, np.int64)
+    if hits:
+        found = np.array(hits, np.int64)
+        np.add.at(depth, place[found[:, 0]], 1)
+        np.add.at(depth, place[found[:, 0]] + found[:, 1], -1)
+    covered = np.cumsum(depth[:-1]) > 0
+    cut = np.zeros(array.size + 1, bool)
+    cut[array.starts] = True
+    begin = np.flatnonzero(covered & np.concatenate([[True], ~covered[:-1]])[:array.size] | covered & cut[:-1])
+    end = np.flatnonzero(covered & (np.concatenate([~covered[1:], [True]])[:array.size] | cut[1:])) + 1
+    t = np.searchsorted(array.stops, begin, "right")
+    return t, begin - array.starts[t], end - array.starts[t]
+
+
+def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """(ids, starts, contexts) of whole buckets, about a megabyte at a time; rows come sorted by bucket.
+
+    Equal windows have one bucket, so buckets are searched together without losing or adding repeats.
+    """
+    held: list[tuple] = []
+    size = 0
+
+    def done():
+        return np.array([h[1] for h in held], np.int64), np.array([h[2] for h in held], np.int64), [h[3] for h in held]
+
+    for batch in batches:
+        for item in zip(*(batch.column(c).to_pylist() for c in ("bucket", "id", "start", "context")), strict=True):
+            if size >= BATCH_BYTES and held[-1][0] != item[0]:
+                yield done()
+                held, size = [], 0
+            held.append(item)
+            size += len(item[3])
+    if held:
+        yield done()
 
 
 def _repeat_groups(length: int):
-    """(grp, shared, id, start): groups of maximal repeats of batches of whole buckets, which come sorted by bucket."""
+    """(grp, shared, id, start): maximal repeats with all their occurrences."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, serial = 0, 0
-
-        def done() -> pa.RecordBatch:
-            nonlocal serial
-            # equal windows are in one bucket only, so a batch may be searched as a whole
-            grp, shared, own, start = [], [], [], []
-            for bytes_, found in maximal_repeats([h[3] for h in held], length):
+        serial = 0
+        for ids, starts, texts in _bucket_batches(batches):
+            rows = []
+            for shared, found in maximal_repeats(texts, length):
                 serial += 1
-                for t, offset in found:
-                    grp.append(serial)
-                    shared.append(bytes_)
-                    own.append(held[t][1])
-                    start.append(held[t][2] + offset)
-            return pa.RecordBatch.from_arrays([pa.array(grp, pa.int64()), pa.array(shared, pa.int32()), pa.array(own, pa.int64()), pa.array(start, pa.int32())],
-                                              names=["grp", "shared", "id", "start"])
-
-        for batch in batches:
-            for item in zip(*(batch.column(c).to_pylist() for c in ("bucket", "id", "start", "context")), strict=True):
-                if size >= BATCH_BYTES and held and held[-1][0] != item[0]:
-                    yield done()
-                    held, size = [], 0
-                held.append(item)
-                size += len(item[3])
-        if held:
-            yield done()
+                rows += [(serial, shared, int(ids[t]), int(starts[t]) + offset) for t, offset in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
+                                             names=["grp", "shared", "id", "start"])
     return run
 
 
 def _later_ranges(length: int):
-    """Ranges (id, start, stop) of all occurrences of each group but the earliest."""
-    groups = _repeat_groups(length)
-
+    """Merged ranges (id, start, stop) of contexts that repeat something earlier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches):
-            grp, shared, own, start = (batch.column(i).to_numpy() for i in range(4))
-            order = np.lexsort((start, own, grp))
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = grp[order][1:] != grp[order][:-1]
-            first = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-            # contexts of one text overlap: the earliest place may be there twice
-            pick = order[(own[order] != own[first]) | (start[order] != start[first])]
-            yield pa.RecordBatch.from_arrays([pa.array(own[pick]), pa.array(start[pick]), pa.array((start + shared)[pick].astype(np.int32))], names=["id", "start", "stop"])
+        for ids, starts, texts in _bucket_batches(batches):
+            t, first, stop = repeated_ranges(texts, ids, starts, length)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[t]), pa.array((starts[t] + first).astype(np.int32)), pa.array((starts[t] + stop).astype(np.int32))],
+                                             names=["id", "start", "stop"])
     return run
 
 
