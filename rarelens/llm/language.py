@@ -45,10 +45,14 @@ class TextModel:
     known: bool
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    return ((data >= 97) & (data <= 122)) | (data >= 128)
+
+
 def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bin, row) of the trigrams that hold a letter, within texts; white space and digits are folded."""
     data = lowered(data)
-    letter = ((data >= 97) & (data <= 122)) | (data >= 128)
+    letter = _letters(data)
     folded = np.where(letter, data, np.uint8(32)).astype(np.uint64)
     if len(data) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -89,8 +93,9 @@ def _likelihoods(model: TextModel, data: np.ndarray, offsets: np.ndarray) -> np.
     """Rows x languages; NaN in rows without a letter."""
     code, row = _trigrams(data, offsets)
     n = len(offsets) - 1
-    out = np.stack([np.bincount(row, model.log_p[i][code], minlength=n) for i in range(len(model.languages))], axis=1)
-    out[np.bincount(row, minlength=n) == 0] = np.nan
+    out = np.stack([np.bincount(row, model.log_p[i][code], minlength=n).astype(float) for i in range(len(model.languages))], axis=1)
+    letters = np.concatenate([[0], np.cumsum(_letters(lowered(data)))])
+    out[letters[offsets[1:]] == letters[offsets[:-1]]] = np.nan
     return out
 
 
