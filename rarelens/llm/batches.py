@@ -132,3 +132,19 @@ def unpacked(block: bytes, *types) -> list[np.ndarray]:
 def joined_blocks(blocks: list[bytes], *types) -> list[np.ndarray]:
     got = [unpacked(b, *types) for b in blocks]
     return [np.concatenate([g[i] for g in got]) if got else np.zeros(0, t) for i, t in enumerate(types)]
+
+
+def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, data, offsets in slices(batches):
+        whole = data.tobytes()
+        out = [pa.compress(whole[a:b], codec="zstd", asbytes=True) if b > a else b"" for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(out, pa.binary())], names=["id", "n", "z"])
+
+
+def pressed_texts(texts: DataFrame) -> DataFrame:
+    """(id, n, z) of (id, text): each text compressed for a shuffle, and its bytes' number."""
+    return texts.mapInArrow(_press, "id long, n long, z binary")
+
+
+def unpressed(n: int, z: bytes) -> bytes:
+    return pa.decompress(z, decompressed_size=n, codec="zstd", asbytes=True) if n else b""

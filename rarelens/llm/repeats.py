@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rarelens.llm.batches import Rolling, id_and_text, joined_blocks, mix, packed, slices
+from rarelens.llm.batches import Rolling, id_and_text, joined_blocks, mix, packed, pressed_texts, slices, unpressed
 from rarelens.session import materialize, ship_with_tasks, shuffle_width
 
 ship_with_tasks(__name__)
@@ -171,18 +171,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _found(bucket[several], own[several], begin[several], end[several])
 
 
-def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for the shuffle."""
-    for ids, data, offsets in slices(batches):
-        whole = data.tobytes()
-        out = [pa.compress(whole[a:b], codec="zstd", asbytes=True) if b > a else b"" for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(out, pa.binary())], names=["id", "n", "z"])
-
-
-def _text(n: int, z: bytes) -> bytes:
-    return pa.decompress(z, decompressed_size=n, codec="zstd", asbytes=True) if n else b""
-
-
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, id, start, context) of the asked contexts of each text."""
     held: list[tuple] = []
@@ -193,7 +181,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for own, n, z, asked in zip(*(batch.column(c) for c in ("id", "n", "z", "asked")), strict=True):
-            text, own, places = _text(n.as_py(), z.as_py()), own.as_py(), asked.values
+            text, own, places = unpressed(n.as_py(), z.as_py()), own.as_py(), asked.values
             bucket, start, stop = (places.field(i).to_pylist() for i in range(3))
             held += [(b, own, x, text[x:y]) for b, x, y in zip(bucket, start, stop, strict=True)]
             if len(held) >= 4096:
@@ -429,7 +417,7 @@ def _parts_of(docs: DataFrame, id_col: str, text_col: str, length: int, limit: i
     hot = spark.sparkContext.broadcast(_hot_anchors(known, length, GRAM, limit))
     found = materialize(known.mapInArrow(_send(parts, length, GRAM, hot), "part int, block binary, spans binary")
                         .repartition(parts, "part").mapInArrow(_meet, _FOUND), "contexts")
-    pressed = texts.mapInArrow(_press, "id long, n long, z binary")
+    pressed = pressed_texts(texts)
     asked = found.where("bucket is not null").groupBy("id").agg(F.collect_list(F.struct("bucket", "start", "stop")).alias("asked"))
     contexts = (pressed.join(asked, "id").mapInArrow(_read, "bucket long, id long, start int, context binary")
                 .repartition(parts, "bucket").sortWithinPartitions("bucket", "id", "start"))
@@ -471,7 +459,7 @@ def _kept(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 def _rows(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for own, n, z, ranges in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "z", "ranges")), strict=True):
-            yield own, _text(n, z), merged([(r["start"], r["stop"]) for r in ranges or ()])
+            yield own, unpressed(n, z), merged([(r["start"], r["stop"]) for r in ranges or ()])
 
 
 def _batched(rows, make, names: list[str], types: list[pa.DataType], limit: int = 256) -> Iterator[pa.RecordBatch]:
