@@ -60,7 +60,7 @@ def _scaled(rows: np.ndarray) -> np.ndarray:
     return rows / np.abs(rows).max(axis=1, keepdims=True)
 
 
-def fit(vectors: DataFrame, column: str, lists: int, sample: int = 50_000, seed: int = 7, rounds: int = 8) -> Index | None:
+def fit(vectors: DataFrame, column: str, lists: int, sample: int = 20_000, seed: int = 7, rounds: int = 8) -> Index | None:
     """Centroids of at most `sample` of the vectors (those of the smallest digests of the vector)."""
     rows = vectors.select(column).orderBy(F.xxhash64(column)).limit(sample).toPandas()[column]
     if not len(rows):
@@ -110,7 +110,7 @@ def scan(candidates: np.ndarray, query: np.ndarray, k: int, width: int, eps: flo
 
 
 def search(vectors: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", lists: int | None = None,
-           probe: float = 0.65, block: int = 4096, width: int = 16, eps: float = 2.1, sample: int = 50_000) -> DataFrame:
+           probe: float = 0.65, block: int = 4096, width: int = 16, eps: float = 2.1, sample: int = 20_000) -> DataFrame:
     """(query_id, rank, id, score): the k nearest other rows of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable("v"))
