@@ -19,7 +19,6 @@ one id count once; other columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
