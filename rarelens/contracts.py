@@ -6,7 +6,6 @@ These are config-sized records checked on the driver before a job starts; row-le
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -57,13 +56,13 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def repeated(names: Sequence[str]) -> list[str]:
     """Names that occur more than once, ordered by where the first repetition shows."""
-    first_repeat: dict[str, int] = {}
-    seen: Counter[str] = Counter()
-    for position, name in enumerate(names):
-        seen[name] += 1
-        if seen[name] == 2:
-            first_repeat[name] = position
-    return sorted(first_repeat, key=first_repeat.get)
+    seen: set[str] = set()
+    again: dict[str, None] = {}
+    for name in names:
+        if name in seen:
+            again[name] = None
+        seen.add(name)
+    return list(again)
 
 
 @dataclass(frozen=True)

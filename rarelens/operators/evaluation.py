@@ -16,7 +16,7 @@ from rarelens.operators.curves import (
     score_curve,
 )
 from rarelens.operators.ordered import double_array
-from rarelens.operators.sweep import counts_at, sweep, threshold_grid
+from rarelens.operators.sweep import sweep, threshold_grid
 
 
 def confusion(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
@@ -107,8 +107,3 @@ def compare_models(df: DataFrame, model: str = "model", label: str = "label", sc
     return ranking.join(picks, model).select(
         model, "roc_auc", "pr_auc", *[F.col(f"_half.{c}").alias(f"thr_0_50_{c}") for c in fields],
         F.col("_best.threshold").alias("thr_cost_best"), *[F.col(f"_best.{c}").alias(f"thr_cost_{c}") for c in fields])
-
-
-def locked_counts(df: DataFrame, thresholds: Sequence[float], **options) -> DataFrame:
-    """Confusion rows for already chosen thresholds (evaluation cannot select)."""
-    return with_rates(counts_at(df, thresholds, **options))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarelens.contracts import ContractError
 from rarelens.functions.features import stable_hash
 from rarelens.operators.ordered import hash_bucket, order_statistics, quantiles
 
@@ -145,11 +144,3 @@ def smallest_hash(hashed: DataFrame, n: int) -> Column:
     rows = hashed.select(hash_bucket("_hash").alias("_bucket"), "_hash")
     position = F.array(F.struct(F.lit("cut").alias("tag"), F.lit(n - 1).cast("bigint").alias("pos")))
     return order_statistics(rows, [], "_bucket", "_hash", lambda _: position).select("value").scalar()
-
-
-def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int | str = 42) -> DataFrame:
-    """Approximate-size sample: a plain filter on the row digest."""
-    if not 0.0 <= fraction <= 1.0:
-        raise ContractError("fraction must lie in [0, 1]")
-    from rarelens.functions.features import hash_unit
-    return df.where(hash_unit(*keys, seed=seed) < F.lit(float(fraction)))

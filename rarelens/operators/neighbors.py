@@ -49,14 +49,18 @@ def _nearest(queries: np.ndarray, points: np.ndarray, point_ids: np.ndarray, k:
         reach = np.partition(rough, at, axis=1)[:, at]
         # The matrix form rounds differently from a difference; keep a margin, then measure the rest exactly.
         margin = SLACK * (1.0 + np.abs(rough).max(axis=1) + norms.max())
-        for i in range(len(q)):
-            near = np.flatnonzero(rough[i] <= reach[i] + margin[i])
-            exact = ((points[near] - q[i]) ** 2).sum(axis=1)
-            order = np.lexsort((point_ids[near], exact))[:k]
-            rows.extend([start + i] * len(order))
-            cols.extend(near[order])
-            dist.extend(exact[order])
-    return np.array(rows, dtype=int), np.array(cols, dtype=int), np.array(dist)
+        of, near = np.nonzero(rough <= (reach + margin)[:, None])
+        exact = ((points[near] - q[of]) ** 2).sum(axis=1)
+        order = np.lexsort((point_ids[near], exact, of))
+        of, near, exact = of[order], near[order], exact[order]
+        first = np.searchsorted(of, np.arange(len(q)))
+        keep = np.arange(len(of)) - first[of] < k
+        rows.append(start + of[keep])
+        cols.append(near[keep])
+        dist.append(exact[keep])
+    if not rows:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
 
 
 def _first_per_group(df: DataFrame, by: str, order: list, limit: int) -> DataFrame:
