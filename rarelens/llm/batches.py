@@ -18,7 +18,7 @@ from rarelens.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Arrow batches are bounded by bytes as well as by rows, so long texts don't make large ones.
 BATCH_BYTES = 16 << 20
 U = np.uint64

@@ -45,6 +45,8 @@ GRAM = 32
 BUCKET_LIMIT = 8192
 BATCH_BYTES = 1 << 20
 SAMPLE = 64
+#: Text that is hashed at once, the same where anchors are hot, and text whose contexts are sent together.
+SEND_PIECE, HOT_PIECE, SEND_BYTES = 1 << 20, 1 << 18, 4 << 20
 
 
 def _over(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -105,30 +107,52 @@ def _cut_windows(data: np.ndarray, row, start, stop, bucket, digest, hot: np.nda
             np.concatenate([np.zeros(keep.sum(), bool), np.ones(len(first), bool)]))
 
 
+def _collapsed(bucket, digest, own, begin, end, single) -> tuple[list[np.ndarray], np.ndarray]:
+    """The first of equal contexts, and (id, start, stop) of the others."""
+    order = np.lexsort((begin, own, digest, bucket))
+    columns = [x[order] for x in (bucket, digest, own, begin, end, single)]
+    bucket, digest, own, begin, end, _ = columns
+    again = np.zeros(len(order), bool)
+    again[1:] = (bucket[1:] == bucket[:-1]) & (digest[1:] == digest[:-1])
+    # a row that is there twice is the same place, not a copy of itself
+    same = again.copy()
+    same[1:] &= (own[1:] == own[:-1]) & (begin[1:] == begin[:-1])
+    return [x[~again] for x in columns], np.stack([own, begin, end], axis=1)[again & ~same]
+
+
 def _send(parts: int, length: int, gram: int, hot):
-    """(part, block, spans): contexts dealt by bucket; of equal ones in the slice the first, the others are spans at once."""
+    """(part, block, spans): contexts dealt by bucket; of equal ones in some megabytes the first, the others are spans at once.
+
+    Hot texts have about two windows for each byte, so they are cut and collapsed in small pieces.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, data, offsets in slices(batches):
+        held: list[list[np.ndarray]] = []
+        spans: list[np.ndarray] = []
+        size = 0
+
+        def done() -> pa.RecordBatch:
+            (bucket, digest, own, begin, end, single), more = _collapsed(*map(np.concatenate, zip(*held, strict=True)))
+            blocks = list(packed(bucket >> U(20), parts, bucket, digest, own, begin.astype(np.uint32), (end - begin).astype(np.uint16), single))
+            ranges = np.concatenate([*spans, more]).astype(np.int64)
+            return pa.RecordBatch.from_arrays([
+                pa.array([p for p, _ in blocks] + [size % parts], pa.int32()), pa.array([b for _, b in blocks] + [None], pa.binary()),
+                pa.array([None] * len(blocks) + [ranges.tobytes()], pa.binary())], names=["part", "block", "spans"])
+
+        for ids, data, offsets in slices(batches, HOT_PIECE if len(hot.value) else SEND_PIECE):
             names = np.asarray(ids.to_numpy(zero_copy_only=False), np.int64)
             row, start, stop, bucket, digest = _contexts(data, offsets, length, gram)
             single = np.zeros(len(row), bool)
             if len(hot.value) and len(row):
                 row, start, stop, bucket, digest, single = _cut_windows(data, row, start, stop, bucket, digest, hot.value, length)
-            begin, end, own = start - offsets[row], stop - offsets[row], names[row]
-            order = np.lexsort((begin, own, digest, bucket))
-            bucket, digest, own, begin, end, single = (x[order] for x in (bucket, digest, own, begin, end, single))
-            again = np.zeros(len(order), bool)
-            again[1:] = (bucket[1:] == bucket[:-1]) & (digest[1:] == digest[:-1])
-            # a row that is there twice is the same place, not a copy of itself
-            same = again.copy()
-            same[1:] &= (own[1:] == own[:-1]) & (begin[1:] == begin[:-1])
-            spans = np.stack([own, begin, end], axis=1)[again & ~same]
-            first = ~again
-            blocks = list(packed(bucket[first] >> U(20), parts, bucket[first], digest[first], own[first], begin[first].astype(np.uint32),
-                                 (end - begin)[first].astype(np.uint16), single[first]))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([p for p, _ in blocks] + [len(data) % parts], pa.int32()), pa.array([b for _, b in blocks] + [None], pa.binary()),
-                pa.array([None] * len(blocks) + [spans.astype(np.int64).tobytes()], pa.binary())], names=["part", "block", "spans"])
+            first, more = _collapsed(bucket, digest, names[row], start - offsets[row], stop - offsets[row], single)
+            held.append(first)
+            spans.append(more)
+            size += len(data)
+            if size >= SEND_BYTES:
+                yield done()
+                held, spans, size = [], [], 0
+        if held:
+            yield done()
     return run
 
 
