@@ -14,6 +14,11 @@ A byte is removed when a string of `length` bytes that covers it also starts ear
    its longest interval with an earlier one reaches.
 4. Removed ranges of a document are merged and cut out.
 
+`repeat_groups` keeps the place of every context: equal contexts are one class, which is in the array twice if it has two
+places or more, and the groups found are joined back to the places of their classes. A string is reported by the anchor of
+a window inside it, as only that anchor is there at every occurrence. Contexts of hot anchors go as suffixes, one for each
+window, dealt by window. Equal contexts are known by 64-bit digests inside a bucket and not compared byte by byte.
+
 Skew: exact copies collapse in steps 1 and 2. An anchor with very many different contexts (the edge of a passage that is
 everywhere) is found beforehand in a 1/64 sample of the documents, which decides the route only: its contexts are cut
 into single windows, which collapse like contexts and need no bucket. At most 100,000 anchors can be over the limit, since
@@ -47,6 +52,8 @@ BATCH_BYTES = 1 << 20
 SAMPLE = 64
 #: Text that is hashed at once, the same where anchors are hot, and text whose contexts are sent together.
 SEND_PIECE, HOT_PIECE, SEND_BYTES = 1 << 20, 1 << 18, 4 << 20
+#: In place of the byte before a suffix: the suffix starts its context; not a suffix but a whole context.
+EDGE, WHOLE = -1, -2
 
 
 def _over(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -225,7 +232,8 @@ class SuffixArray:
     or a value of its own at the start of a text.
     """
 
-    def __init__(self, texts: list[bytes], length: int):
+    def __init__(self, texts: list[bytes], length: int, keys: np.ndarray | None = None, before: np.ndarray | None = None):
+        """Texts with different `keys` share nothing; a text with `before` over WHOLE is one suffix that follows that byte."""
         sizes = np.array([len(t) for t in texts], np.int64)
         self.stops = np.cumsum(sizes)
         self.starts = self.stops - sizes
@@ -234,14 +242,23 @@ class SuffixArray:
         self.places = self.left = self.common = np.zeros(0, np.int64)
         room = np.repeat(self.stops, sizes) - np.arange(len(data))
         begin = np.flatnonzero(room >= length)
+        text = np.searchsorted(self.stops, begin, "right") if keys is not None else None
+        if before is not None:
+            one = (before[text] == WHOLE) | (begin == self.starts[text])
+            begin, text = begin[one], text[one]
         if not len(begin):
             return
         digest = Rolling(data).of(begin, begin + length)
+        if keys is not None:
+            digest = mix(digest ^ keys[text])
         order = np.argsort(digest, kind="stable")
         begin, digest = begin[order], digest[order]
         first = np.zeros(len(data), bool)
         first[self.starts[sizes > 0]] = True
         left = np.where(first[begin], -1 - begin, data[begin - 1].astype(np.int64))
+        if before is not None:
+            given = before[text[order]]
+            left = np.where(given >= 0, given, left)
         fresh = np.flatnonzero(np.concatenate([[True], digest[1:] != digest[:-1]]))
         wanted = np.minimum.reduceat(left, fresh) != np.maximum.reduceat(left, fresh)
         group = np.repeat(np.arange(len(fresh)), np.diff(np.append(fresh, len(begin))))
@@ -259,12 +276,14 @@ class SuffixArray:
             rows[i:i + 65536] = np.where(inside, data[np.minimum(part, len(data) - 1)] + np.uint8(1), 0)
         words = np.ascontiguousarray(rows[:, length:]).view(">u8").astype(U)
         order = np.lexsort((*words.T[::-1], group))
-        self.places, self.left = begin[order], left[order]
+        self.places, self.left, group = begin[order], left[order], group[order]
         rows = rows[order]
         differs = rows[1:] != rows[:-1]
         same = np.where(differs.any(axis=1), differs.argmax(axis=1), wide)
         here = room[self.places]
         self.common = np.concatenate([[0], np.minimum(same, np.minimum(here[1:], here[:-1]))])
+        if keys is not None:
+            self.common[1:][group[1:] != group[:-1]] = 0
 
     def runs(self, length: int) -> list[tuple[int, int]]:
         """Ranges of suffixes that share at least `length` bytes."""
@@ -301,9 +320,9 @@ def intervals(common: list[int], left: list[int], length: int) -> list[tuple[int
     return out
 
 
-def maximal_repeats(texts: list[bytes], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+def maximal_repeats(texts: list[bytes], length: int, keys: np.ndarray | None = None, before: np.ndarray | None = None) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """(shared bytes, occurrences as (text, offset)) of the maximal repeats of at least `length` bytes among texts."""
-    array = SuffixArray(texts, length)
+    array = SuffixArray(texts, length, keys, before)
     text_of = np.searchsorted(array.stops, array.places, "right")
     offset = (array.places - array.starts[text_of]).tolist() if len(array.places) else []
     text_of = text_of.tolist()
@@ -391,17 +410,89 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndar
         yield done()
 
 
+_PLACES = "bucket long, digest long, id long, start int, stop int, at int, before int"
+
+
+def _places(length: int, gram: int, hot):
+    """Every context with its place, `at` bytes before its anchor; contexts of hot anchors as a suffix for each window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, data, offsets in slices(batches, HOT_PIECE if len(hot.value) else SEND_PIECE):
+            names = np.asarray(ids.to_numpy(zero_copy_only=False), np.int64)
+            place, row, bucket = anchors(data, offsets, length, gram)
+            if not len(place):
+                continue
+            start, stop = np.maximum(offsets[row], place - (length - gram)), np.minimum(offsets[row + 1], place + length)
+            before, rolling = np.full(len(row), WHOLE), Rolling(data)
+            if len(hot.value):
+                cut = hot.value[np.minimum(np.searchsorted(hot.value, bucket), len(hot.value) - 1)] == bucket
+                count = np.where(cut, stop - start - length + 1, 1)
+                pick = np.repeat(np.arange(len(row)), count)
+                step = np.arange(len(pick)) - np.repeat(np.cumsum(count) - count, count)
+                place, row, bucket, start, stop, cut = (x[pick] for x in (place, row, bucket, start, stop, cut))
+                start = start + step
+                before = np.where(cut, np.where(step > 0, data[np.maximum(start - 1, 0)].astype(np.int64), EDGE), WHOLE)
+                bucket = np.where(cut, mix(bucket ^ rolling.of(start, start + length)), bucket)
+            at = place - start
+            digest = mix(mix(rolling.of(start, stop) + at.astype(U)) + before.astype(U))
+            first = offsets[row]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(bucket.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(names[row]),
+                *[pa.array(x.astype(np.int32)) for x in (start - first, stop - first, at, before)]],
+                names=["bucket", "digest", "id", "start", "stop", "at", "before"])
+    return run
+
+
+_CLASSES = "bucket long, digest long, n int, at int, before int, context binary"
+_CLASS_TYPES = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _read_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The asked classes with the context, read from its first place."""
+    def rows():
+        for batch in batches:
+            for n, z, asked in zip(*(batch.column(c) for c in ("n", "z", "asked")), strict=True):
+                text, fields = unpressed(n.as_py(), z.as_py()), [asked.values.field(i).to_pylist() for i in range(7)]
+                for bucket, digest, places, start, stop, at, before in zip(*fields, strict=True):
+                    yield bucket, digest, places, at, before, text[start:stop]
+    yield from _batched(rows(), lambda *r: r, ["bucket", "digest", "n", "at", "before", "context"], list(_CLASS_TYPES), 4096)
+
+
+def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Classes of whole buckets, about a megabyte at a time; rows come sorted by bucket and digest."""
+    held: list[tuple] = []
+    size = 0
+    for batch in batches:
+        for item in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if held and held[-1][:2] == item[:2]:
+                continue                                 # a repeated row
+            if size >= BATCH_BYTES and held[-1][0] != item[0]:
+                yield held
+                held, size = [], 0
+            held.append(item)
+            size += len(item[5])
+    if held:
+        yield held
+
+
 def _repeat_groups(length: int):
-    """(grp, shared, id, start): maximal repeats with all their occurrences."""
+    """(grp, shared, bucket, digest, skip): maximal repeats, and where they are in the contexts of classes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        serial = 0
-        for ids, starts, texts in _bucket_batches(batches):
-            rows = []
-            for shared, found in maximal_repeats(texts, length):
-                serial += 1
-                rows += [(serial, shared, int(ids[t]), int(starts[t]) + offset) for t, offset in found]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
-                                             names=["grp", "shared", "id", "start"])
+        def rows():
+            for classes in _class_batches(batches):
+                classes = [c for c in classes for _ in range(c[2])]
+                texts = [c[5] for c in classes]
+                keys, before = np.array([c[0] for c in classes], np.int64).view(U), np.array([c[4] for c in classes], np.int64)
+                for shared, found in maximal_repeats(texts, length, keys, before):
+                    t, o = found[0]
+                    string = texts[t][o:o + shared]
+                    inside, _, _ = anchors(np.frombuffer(string, np.uint8), np.array([0, shared]), length, GRAM)
+                    if {classes[t][3] - o for t, o in found}.isdisjoint(inside.tolist()):
+                        continue                         # another anchor is there at every occurrence
+                    grp = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
+                    for bucket, digest, skip in {(*classes[t][:2], o) for t, o in found}:
+                        yield grp, shared, bucket, digest, skip
+        yield from _batched(rows(), lambda *r: r, ["grp", "shared", "bucket", "digest", "skip"],
+                            [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()], 4096)
     return run
 
 
@@ -449,13 +540,31 @@ def _parts_of(docs: DataFrame, id_col: str, text_col: str, length: int, limit: i
 
 
 def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, limit: int = BUCKET_LIMIT) -> DataFrame:
-    """(grp, shared, id, start) of the maximal repeats among the first occurrences of all different contexts.
+    """(grp, shared, id, start) of the maximal repeats within contexts, each with all its occurrences.
 
-    Group numbers are unique within a task's partition, which is the upper half of the number.
+    The group's number is a digest of its string, so a string that several anchors report is one group.
     """
-    _, _, contexts = _parts_of(docs, id_col, text_col, length, limit)
-    groups = contexts.mapInArrow(_repeat_groups(length), "grp long, shared int, id long, start int")
-    return groups.select((F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("grp")).alias("grp"), "shared", F.col("id").alias(id_col), "start")
+    if length < GRAM + 8:
+        raise ValueError(f"repeats of less than {GRAM + 8} bytes are not searched")
+    spark = docs.sparkSession
+    texts = id_and_text(docs, id_col, text_col).where("id is not null")
+    hot = spark.sparkContext.broadcast(_hot_anchors(texts, length, GRAM, limit))
+    places = materialize(texts.mapInArrow(_places(length, GRAM, hot), _PLACES).distinct(), "places")
+    classes = places.groupBy("bucket", "digest").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("n"),
+                                                     F.min(F.struct("id", "start", "stop", "at", "before")).alias("first"))
+    # suffixes that all follow one byte are parts of longer ones
+    several = (classes.groupBy("bucket").agg(F.sum("n").alias("places"), F.min("first.before").alias("low"), F.max("first.before").alias("high"))
+               .where("places > 1 and (low < 0 or low < high)").select("bucket"))
+    asked = classes.join(several, "bucket").groupBy("first.id").agg(
+        F.collect_list(F.struct("bucket", "digest", "n", "first.start", "first.stop", "first.at", "first.before")).alias("asked"))
+    contexts = (pressed_texts(texts).join(asked, "id").mapInArrow(_read_classes, _CLASSES)
+                .repartition(shuffle_width(spark), "bucket").sortWithinPartitions("bucket", "digest"))
+    groups = contexts.mapInArrow(_repeat_groups(length), "grp long, shared int, bucket long, digest long, skip int")
+    found = materialize(groups.join(places, ["bucket", "digest"])
+                        .select("grp", "shared", "id", (F.col("start") + F.col("skip")).alias("start")).distinct(), "groups")
+    # contexts of one document overlap: one place alone is no repeat
+    repeated = found.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp")
+    return found.join(repeated, "grp").select("grp", "shared", F.col("id").alias(id_col), "start")
 
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, limit: int) -> tuple[DataFrame, DataFrame]:

@@ -71,3 +71,44 @@ def test_odd_rows(spark):
     texts = {r["doc_id"]: r["text"] for r in out.collect()}
     assert texts[0] is None and texts[9] == "x" and texts[None] == "no id at all" and texts[6] == "漢字 and 𝄞"
     assert repeats.digests(no_docs(spark)).count() == 0 and repeats.without_repeats(no_docs(spark)).count() == 0
+
+
+def places_of(docs, width):
+    out = {}
+    for i, t in docs.items():
+        b = (t or "").encode()
+        for p in range(len(b) - width + 1):
+            out.setdefault(b[p:p + width], set()).add((i, p))
+    return out
+
+
+def check_groups(spark, docs, **options):
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    groups = {}
+    for r in repeats.repeat_groups(df.unionByName(df.limit(5)), **options).collect():
+        groups.setdefault((r["grp"], r["shared"]), []).append((r["doc_id"], r["start"]))
+    plain = {i: (t or "").encode() for i, t in docs.items()}
+    widths, strings, covered = {100: places_of(docs, 100)}, set(), set()
+    for (_, n), at in groups.items():
+        i, a = at[0]
+        w = plain[i][a:a + n]
+        if n not in widths:
+            widths[n] = places_of(docs, n)
+        assert len(at) == len(set(at)) > 1 and set(at) == widths[n][w] and w not in strings
+        strings.add(w)
+        for o in range(n - 99):
+            if len(widths[100][w[o:o + 100]]) == len(at):
+                covered.add(w[o:o + 100])
+    assert covered == {w for w, at in widths[100].items() if len(at) > 1}
+
+
+def test_groups_have_all_occurrences_by_both_routes(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage, copy = word(400), word(260)
+    docs = {i: rng.choice([copy, word(30) + passage[:rng.randint(90, 400)] + word(90), word(50) + passage + word(50), None]) for i in range(90)}
+    docs |= {90: word(300), 91: "ab" * 90, 92: "x" * 130, 93: copy[40:200]}
+    check_groups(spark, {1: copy, 2: copy})
+    check_groups(spark, docs)
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    check_groups(spark, docs, limit=1)
