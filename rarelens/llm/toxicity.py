@@ -3,8 +3,10 @@
 Learning uses a bounded sample of labelled documents (`max_labelled`, drawn by the digest of the id):
 
 - Features are words (ASCII letters in lower case, digits, bytes from 128) and their first 3 to 6 bytes. A feature's log-odds
-  between toxic and clean documents is smoothed with a Dirichlet prior that is proportional to the feature's overall
-  frequency; features whose log-odds is under `min_z` deviations or under `min_odds` are dropped.
+  between toxic and clean documents is smoothed with a Dirichlet prior of the feature's overall frequency, whose mass in
+  each class is `prior` times the class. Features are kept if they are significant, whatever their log-odds: the signed
+  root of the likelihood ratio between their share of toxic documents and the overall share reaches `min_z`, or what
+  chance alone reaches about once among so many features, sqrt(2 ln(features)), if that is more.
 - A token scores the log-odds of its most significant feature, less `drift`; any other token costs `drift`. All maximal
   scoring segments of a text are found in one pass; each is a passage.
 - For clean texts the best segment follows an extreme-value law: E = K n exp(-lambda S). Lambda solves
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelens.llm.batches import Rolling, id_and_text, lowered, mix, slices, words_of
-from rarelens.session import ship_with_tasks
+from rarelens.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -182,7 +184,7 @@ def _lambda(scores: np.ndarray, counts: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        max_labelled: int = 50_000, min_z: float = 3.0, min_odds: float = 3.0, prior: float = 0.1, drift: float = 0.05) -> Model:
+        max_labelled: int = 50_000, min_z: float = 3.0, prior: float = 0.1, drift: float = 0.05) -> Model:
     """A model from at most about `max_labelled` of the labelled documents.
 
     The sample is the documents whose id digest falls under a cut, so its ids are few enough to broadcast.
@@ -193,18 +195,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = min(1.0, max_labelled / max(total, 1))
     sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").select("id", "text", "label")
-    counts = rows.mapInArrow(_presence, "feature long, toxic long, docs long").groupBy("feature").agg(
-        F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs"))
+    counts = materialize(rows.mapInArrow(_presence, "feature long, toxic long, docs long").groupBy("feature").agg(
+        F.sum("toxic").alias("toxic"), F.sum("docs").alias("docs")).where("docs >= 3"), "features")
     classes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     bad, good = classes.get(1, 0), classes.get(0, 0)
     base = float(np.log((bad + 0.5) / (good + 0.5)))
     empty = Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), drift, intercept=base)
     if not bad or not good:
         return empty
-    y1, y0 = F.col("toxic") + prior * F.col("docs"), F.col("docs") - F.col("toxic") + prior * F.col("docs")
-    odds = F.log(y1 / bad) - F.log(y0 / good)
-    table = (counts.where("docs >= 3").withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / y1 + 1 / y0))
-             .where((F.abs("z") >= min_z) & (F.abs("odds") >= min_odds)).select("feature", "odds", "z").toPandas().sort_values("feature"))
+    hits, misses, each = F.col("toxic"), F.col("docs") - F.col("toxic"), bad / (bad + good)
+    odds = F.log((hits + prior * each * F.col("docs")) / bad) - F.log((misses + prior * (1 - each) * F.col("docs")) / good)
+    # twice the log of the likelihood ratio; a count of 0 adds nothing
+    gain = lambda n, share: F.when(n > 0, n * F.log(n / (F.col("docs") * share))).otherwise(F.lit(0.0))
+    z = F.signum(F.col("odds")) * F.sqrt(F.greatest(2 * (gain(hits, each) + gain(misses, 1 - each)), F.lit(0.0)))
+    least = max(min_z, float(np.sqrt(2 * np.log(max(counts.count(), 1)))))
+    table = (counts.withColumn("odds", odds).withColumn("z", z)
+             .where(F.abs("z") >= least).select("feature", "odds", "z").toPandas().sort_values("feature"))
     model = empty
     if not len(table):
         return model

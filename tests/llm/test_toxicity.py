@@ -73,3 +73,18 @@ def test_odd_rows(spark):
     assert len(scores) == 16 and len(set(scores.values())) == 1 and 0 < scores[0] < 0.5
     assert toxicity.score(no_docs(spark), model).count() == 0 and toxicity.passages(docs, model).count() == 0
     toxicity.fit(no_docs(spark), one_class.where("false"))
+
+
+def test_half_of_the_labels_toxic(spark):
+    rng = random.Random(9)
+    rows = [(i, t, y) for i, t, y in labelled(2400, 11)]
+    toxic = [r for r in rows if r[2]]
+    clean = [r for r in rows if not r[2]][:len(toxic)]
+    # the marks are in some clean texts as well
+    clean = [(i, t + " " + rng.choice(["villain", "scoundrel"]) if rng.random() < 0.05 else t, y) for i, t, y in clean]
+    df = spark.createDataFrame(toxic + clean, "doc_id long, text string, toxic int")
+    model = toxicity.fit(df, df.where("doc_id % 3 != 1").select("doc_id", "toxic"))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    test = [(got[i], y) for i, _, y in toxic + clean if i % 3 == 1]
+    assert len(model.features) and model.odds.max() > 0
+    assert sum((s >= 0.5) == bool(y) for s, y in test) >= 0.9 * len(test)
