@@ -5,15 +5,17 @@ a band of document frequencies, [max(min_docs, low * N), high * N]; as a text ha
 (terms per text) / low terms reach the lower bound, whatever N is. So the lexicon is broadcast, after a check of its size,
 and joined in a shuffle beyond it.
 
-Lexicon subsets are randomised by a hash of the term: `SUBSETS` families of 16 subsets with 1/128, 1/512 and 1/2048 of the
-terms each. A text's fingerprint is, per subset, the hash of its sorted distinct terms in that subset (0 without one). Terms
-outside every subset, five of six, are dropped before they are counted or joined.
+A text's fingerprint starts with one entry for all its terms in the lexicon. The others are of randomised lexicon subsets:
+four families of 16 subsets by a hash of the term. The subsets of the first are a partition of the lexicon, so each of
+its terms counts; those of the others hold 1/128, 1/512 and 1/2048 of the terms each and tell how much of a long text is
+the same. An entry is the hash of the set of the text's terms in the subset (0 without one). Sets are hashed by exclusive
+or of the terms' hashes, so a text's row is summed up before the shuffle, whatever its number of terms. A text without a
+term in the lexicon has the hash of the whole text as its first entry.
 
-Likeness of two fingerprints: the share of equal entries among those where either has a term, in the sparsest family in
-which at least 8 have one (else in all); 0 if neither text has a term in the lexicon, 1 if the fingerprints are equal.
+Likeness of two fingerprints: 1 if the first entries are equal; else the share of equal entries among the first and those
+where either has a term, in the sparsest family in which at least 8 have one (else in all).
 
-Defined results: null texts are empty; an empty text has the fingerprint of no terms; equal texts have equal fingerprints;
-an empty table gives an empty result; columns other than id and text are not read.
+Defined results: null texts are empty; equal texts have equal fingerprints and likeness 1; an empty table gives an empty result; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -23,27 +25,26 @@ from pyspark.sql import functions as F
 
 from rarelens.session import materialize
 
-#: (subsets, slots of 1/4096 per subset): densities 1/128, 1/512 and 1/2048.
-SUBSETS = ((16, 32), (16, 8), (16, 2))
+#: (subsets, slots of 1/4096 per subset): a partition of all slots, then densities 1/128, 1/512 and 1/2048.
+SUBSETS = ((16, 256), (16, 32), (16, 8), (16, 2))
 SLOTS = 4096
-USED = sum(n * w for n, w in SUBSETS)
+USED = SLOTS
 LEXICON_BROADCAST = 2_000_000
 
 
-def _subset(term: Column) -> Column:
-    """The subset of a term, or null."""
-    slot = F.pmod(term, F.lit(SLOTS))
-    out, low, first = F.lit(None).cast("int"), 0, 0
-    for count, width in SUBSETS:
-        out = F.when((slot >= low) & (slot < low + count * width), F.lit(first) + F.floor((slot - low) / width).cast("int")).otherwise(out)
-        low, first = low + count * width, first + count
+def _members(term: Column) -> list[Column]:
+    """For each subset whether a term is in it; each family has a digit of the hash of its own."""
+    out = []
+    for n, (count, width) in enumerate(SUBSETS):
+        slot = F.pmod(F.shiftrightunsigned(term, 12 * n), F.lit(SLOTS))
+        out += [(slot >= r * width) & (slot < (r + 1) * width) for r in range(count)]
     return out
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct terms of a text that lie in any lexicon subset."""
+    """Hashes of the distinct terms of a text."""
     words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
-    return F.filter(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)), lambda h: F.pmod(h, F.lit(SLOTS)) < USED)
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
 def lexicon(texts: DataFrame, low: float, high: float, min_docs: int) -> DataFrame:
@@ -53,26 +54,20 @@ def lexicon(texts: DataFrame, low: float, high: float, min_docs: int) -> DataFra
             .where((F.col("docs") >= max(min_docs, low * total)) & (F.col("docs") <= max(high * total, min_docs))).select("term"))
 
 
-def _entries(found: str) -> Column:
-    """Hash of the sorted terms of each subset; equal texts give equal entries."""
-    own = F.array_sort(F.array_distinct(found))
-    count = sum(n for n, _ in SUBSETS)
-
-    def entry(r: Column) -> Column:
-        members = F.filter(own, lambda t: _subset(t) == r)
-        return F.when(F.size(members) > 0, F.pmod(F.xxhash64(members), F.lit(2**31 - 1)) + 1).otherwise(F.lit(0)).cast("int")
-
-    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), entry)
+def _entry(members: Column) -> Column:
+    return F.when(members.isNotNull(), F.pmod(F.xxhash64(members), F.lit(2**31 - 1)) + 1).otherwise(F.lit(0)).cast("int")
 
 
 def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """keys, keep and `entries` of rows (keys, keep, text); rows with equal keys must be equal."""
-    exploded = texts.select(*keys, *keep, F.explode_outer(terms(F.col("text"))).alias("term"))
+    exploded = texts.select(*keys, *keep, F.xxhash64("text").alias("__text"), F.explode_outer(terms(F.col("text"))).alias("term"))
     bounded = F.broadcast(band) if band.count() <= LEXICON_BROADCAST else band
     marked = exploded.join(bounded.select("term", F.lit(True).alias("__in")), "term", "left")
-    found = marked.groupBy(*keys).agg(F.collect_set(F.when(F.col("__in"), F.col("term"))).alias("__terms"),
-                                      *[F.first(c).alias(c) for c in keep])
-    return found.select(*keys, *keep, _entries("__terms").alias("entries"))
+    term = F.when(F.col("__in"), F.col("term"))
+    found = marked.groupBy(*keys).agg(F.bit_xor(term).alias("__all"), F.first("__text").alias("__text"), *[F.first(c).alias(c) for c in keep],
+                                      *[F.bit_xor(F.when(m, term)).alias(f"__e{r}") for r, m in enumerate(_members(F.col("term")))])
+    count = sum(n for n, _ in SUBSETS)
+    return found.select(*keys, *keep, F.array(_entry(F.coalesce("__all", F.col("__text"))), *[_entry(F.col(f"__e{r}")) for r in range(count)]).alias("entries"))
 
 
 def text_of(entries: str) -> Column:
@@ -82,12 +77,14 @@ def text_of(entries: str) -> Column:
 def likeness(a: str, b: str) -> Column:
     pairs = F.zip_with(F.col(a), F.col(b), lambda x, y: F.struct(((x != 0) | (y != 0)).cast("int").alias("any"), ((x == y) & (x != 0)).cast("int").alias("same")))
     count = lambda part, field: F.aggregate(part, F.lit(0), lambda acc, p: acc + p[field])
-    first, out = 0, F.when(count(pairs, "any") > 0, count(pairs, "same") / count(pairs, "any")).otherwise(F.lit(0.0))
+    subsets = F.slice(pairs, 2, sum(n for n, _ in SUBSETS))
+    share = lambda part: count(part, "same") / (count(part, "any") + 1)
+    first, out = 0, share(subsets)
     for size, _ in SUBSETS:                     # the sparsest family that says enough is looked at first
-        part = F.slice(pairs, first + 1, size)
-        out = F.when(count(part, "any") >= 8, count(part, "same") / count(part, "any")).otherwise(out)
+        part = F.slice(subsets, first + 1, size)
+        out = F.when(count(part, "any") >= 8, share(part)).otherwise(out)
         first += size
-    return F.when((F.col(a) == F.col(b)) & (count(pairs, "any") > 0), F.lit(1.0)).otherwise(out)
+    return F.when(F.get(a, F.lit(0)) == F.get(b, F.lit(0)), F.lit(1.0)).otherwise(out)
 
 
 def with_next(texts: DataFrame, per_bucket: int = 1000) -> DataFrame:

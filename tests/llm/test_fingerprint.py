@@ -55,3 +55,15 @@ def test_odd_rows(spark):
     assert got[7]["fingerprint"] == got[8]["fingerprint"] and got[0]["fingerprint"] == got[1]["fingerprint"]
     assert fingerprint.compare_edits(no_docs(spark)).count() == 0
     assert fingerprint.compare_edits(odd_docs(spark).where("doc_id = 7")).select("near_next").first()[0] in (0.0, 1.0)
+
+
+def test_every_term_of_the_lexicon_counts(spark):
+    texts = [f"common w{i // 4} v{i // 4}" for i in range(200)] + ["w1 v2", "w1 v3", "w1 v2", "never seen", "never seen", "other words", "", ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    band = fingerprint.lexicon(rows, 0.001, 0.1, 3)
+    found = {r["id"]: r["entries"] for r in fingerprint.fingerprints(rows, band, ["id"], []).collect()}
+    assert all(found[i][0] == found[i - 1][0] for i in range(200) if i % 4)
+    assert len({found[i][0] for i in range(0, 200, 4)}) == 50 and all(any(found[i][1:17]) for i in range(200))
+    pairs = spark.createDataFrame([(found[a], found[b]) for a, b in ((200, 201), (200, 202), (203, 204), (203, 205), (206, 207))], "a array<int>, b array<int>")
+    near = [r[0] for r in pairs.select(fingerprint.likeness("a", "b")).collect()]
+    assert 0 < near[0] < 1 and near[1:] == [1.0, 1.0, 0.0, 1.0]
