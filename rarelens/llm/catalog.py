@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarelens.llm import byte_bpe, fingerprint, language, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
+from rarelens.llm import byte_bpe, fingerprint, language, merkle, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,3 +141,65 @@ def toxic_documents(spark: SparkSession, directory: str) -> DataFrame:
     scored = toxicity.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("score"),
                          (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_passages", "evidence")
+
+
+@query("op11_merkle_manifest", r"""
+WITH RECURSIVE
+crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc),
+doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
+         CASE WHEN doc_id IS NULL THEN 1 ELSE xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8))) END AS crc
+  FROM documents, crc_table),
+seen AS (SELECT *, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown FROM doc),
+part AS (
+  SELECT *, list_aggregate(list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR],
+              lambda v: CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END), 'string_agg', '') AS head FROM seen),
+leaf AS (
+  SELECT rid, doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS digest,
+         sha256(head || CASE WHEN shown IS NULL THEN '-' ELSE strlen(shown) || ':' || shown END) AS shown FROM part),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaf),
+own AS (
+  SELECT source, 0 AS level, i, n, digest FROM ranked
+  UNION ALL
+  SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM own WHERE n > 1 GROUP BY source, level, n, i // 3),
+sub AS (
+  SELECT source, level AS height, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM own WHERE n = 1),
+top AS (
+  SELECT 0 AS level, i, n, subroot AS digest FROM sub
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, n, i // 3),
+steps AS (
+  SELECT r.rid, o.level, o.i < r.i // (3 ** o.level)::BIGINT AS is_left, o.i AS pos, o.digest
+  FROM ranked r JOIN own o ON o.source IS NOT DISTINCT FROM r.source AND o.n > 1
+    AND o.i // 3 = r.i // (3 ** (o.level + 1))::BIGINT AND o.i <> r.i // (3 ** o.level)::BIGINT
+  UNION ALL
+  SELECT r.rid, s.height + t.level, t.i < s.i // (3 ** t.level)::BIGINT, t.i, t.digest
+  FROM ranked r JOIN sub s ON s.source IS NOT DISTINCT FROM r.source JOIN top t ON t.n > 1
+    AND t.i // 3 = s.i // (3 ** (t.level + 1))::BIGINT AND t.i <> s.i // (3 ** t.level)::BIGINT),
+sides AS (
+  SELECT rid, level, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (is_left), '') AS lefts,
+         coalesce(string_agg(digest, '' ORDER BY pos) FILTER (NOT is_left), '') AS rights FROM steps GROUP BY ALL),
+proof AS (SELECT rid, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof_sha256 FROM sides GROUP BY rid),
+way AS (
+  SELECT r.rid, r.shown, s.subroot, s.height + (SELECT max(level) FROM top) AS levels FROM ranked r JOIN sub s ON s.source IS NOT DISTINCT FROM r.source),
+folds AS (
+  SELECT rid, 0 AS level, shown AS digest, levels FROM way
+  UNION ALL
+  SELECT f.rid, f.level + 1, sha256(coalesce(s.lefts, '') || f.digest || coalesce(s.rights, '')), levels
+  FROM folds f LEFT JOIN sides s ON s.rid = f.rid AND s.level = f.level WHERE f.level < f.levels)
+SELECT r.doc_id, r.digest AS leaf, w.subroot, t.digest AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = t.digest AS verified
+FROM ranked r JOIN way w USING (rid) JOIN folds f ON f.rid = r.rid AND f.level = f.levels LEFT JOIN proof p ON p.rid = r.rid
+CROSS JOIN (SELECT digest FROM top WHERE n = 1) t
+""")
+def merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; half of the documents are presented without their line ends."""
+    docs = table(spark, directory, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": shown})
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
