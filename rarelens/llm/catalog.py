@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarelens.llm import byte_bpe, fingerprint, language, merkle, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
+from rarelens.llm import byte_bpe, fingerprint, hard_negatives, language, merkle, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,3 +203,26 @@ def merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
     shown = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": shown})
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op12_hard_negatives", """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+""")
+def hard_negative_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """Negatives of 80 to 100 % of the positive's score, for the anchors whose id is divisible by 100; every seventh label is wrong."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, directory, "embeddings"), F.col("id") % 100 == 0, label=label)
