@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarelens.llm import byte_bpe, fingerprint, hard_negatives, language, merkle, neighbours, ngram_join, packing, repeats, secrets, toxicity, url_filter
+from rarelens.llm import byte_bpe, fingerprint, hard_negatives, language, merkle, neighbours, ngram_join, packing, quality, repeats, secrets, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -226,3 +226,14 @@ def hard_negative_rows(spark: SparkSession, directory: str) -> DataFrame:
     """Negatives of 80 to 100 % of the positive's score, for the anchors whose id is divisible by 100; every seventh label is wrong."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, directory, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+@query("op13_quality")
+def quality_of_documents(spark: SparkSession, directory: str) -> DataFrame:
+    """Quality of every document; a quarter of the labels is held out from learning."""
+    docs = table(spark, directory, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = quality.fit(docs, table(spark, directory, "labels").where(~held_out))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         "n_passages", "top_first_byte", "top_end_byte", "top_attention")
