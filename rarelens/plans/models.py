@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from rarelens.operators.curves import average_precision
 from rarelens.operators.splits import class_weight
+from rarelens.plans.ensembles import HistogramTrees
 from rarelens.plans.estimators import PopulationScaler, RobustColumnScaler
 from rarelens.plans.scoring import positive_score
 
@@ -85,8 +86,31 @@ def boosted_trees(n_estimators: int = 400, max_depth: int = 6, learning_rate: fl
                          seed=seed, featuresCol="features", labelCol=LABEL, **params)
 
 
+def gradient_boosting(n_estimators: int = 400, max_depth: int = 6, learning_rate: float = 0.05, subsample: float = 0.8, colsample: float = 1.0,
+                      min_child: float = 1.0, gamma: float = 0.0, reg_alpha: float = 0.0, reg_lambda: float = 1.0, max_delta_step: float = 0.0,
+                      metric: str = "aucpr", seed: int = 42, **params) -> HistogramTrees:
+    """Second-order boosting with leaf penalties; with validation rows it can stop after rounds without gain."""
+    return HistogramTrees("boosted", label=LABEL, rounds=n_estimators, rate=learning_rate, max_depth=max_depth, subsample=subsample, colsample=colsample,
+                          min_child=min_child, gamma=gamma, reg_alpha=reg_alpha, reg_lambda=reg_lambda, max_delta_step=max_delta_step, metric=metric,
+                          seed=seed, **params)
+
+
+def histogram_tree(max_depth: int | None = None, min_split: int = 2, min_leaf: int = 1, criterion: str = "gini", seed: int = 42, **params) -> HistogramTrees:
+    """A tree with a least size of the nodes that may be split, and no limit of depth unless given."""
+    return HistogramTrees("averaged", label=LABEL, max_depth=max_depth, min_split=min_split, min_leaf=min_leaf, criterion=criterion, seed=seed, **params)
+
+
+def histogram_forest(n_estimators: int = 300, max_depth: int | None = None, min_split: int = 2, min_leaf: int = 1, max_features: float | int | str = "sqrt",
+                     bootstrap: bool = True, class_weight: str | Sequence[float] | None = None, seed: int = 42, **params) -> HistogramTrees:
+    """A forest grown together; `class_weight` "balanced_subsample" weighs classes within each tree's own draw."""
+    weight = list(class_weight) if isinstance(class_weight, (list, tuple)) else class_weight
+    return HistogramTrees("averaged", label=LABEL, trees=n_estimators, max_depth=max_depth, min_split=min_split, min_leaf=min_leaf, features=max_features,
+                          bootstrap=bootstrap, class_weight=weight, seed=seed, **params)
+
+
 FAMILIES: dict[str, Callable[..., Any]] = {
-    "logreg": logistic, "decision_tree": decision_tree, "random_forest": random_forest, "boosted_trees": boosted_trees}
+    "logreg": logistic, "decision_tree": decision_tree, "random_forest": random_forest, "boosted_trees": boosted_trees,
+    "gradient_boosting": gradient_boosting, "histogram_tree": histogram_tree, "histogram_forest": histogram_forest}
 
 
 @dataclass
@@ -119,15 +143,19 @@ class ModelSpec:
         assembler = VectorAssembler(inputCols=scaled, outputCol="features", handleInvalid="error")
         return Pipeline(stages=[*scalers[self.scaler], assembler, classifier])
 
-    def fit(self, train: DataFrame, validation: DataFrame | None = None, patience: float = 0.01) -> PipelineModel:
-        """Fit on train only. With `validation`, boosted trees stop early on those rows."""
+    def fit(self, train: DataFrame, validation: DataFrame | None = None, patience: float | int = 0.01) -> PipelineModel:
+        """Fit on train only. With `validation`, boosted trees stop early on those rows.
+
+        `patience` is the least gain of a round for "boosted_trees", a number of rounds without gain for "gradient_boosting".
+        """
         table = self.training_table(train)
         classifier = self.classifier(self._total_weight(table))
         if validation is not None and classifier.hasParam("validationIndicatorCol"):
             held = validation.select(*self.features, F.col(self.target).cast("double").alias(LABEL),
                                      F.lit(1.0).alias(WEIGHT), F.lit(True).alias(VALIDATION))
             table = table.withColumn(VALIDATION, F.lit(False)).unionByName(held)
-            classifier = classifier.setParams(validationIndicatorCol=VALIDATION, validationTol=patience)
+            stop = {"patience": max(1, int(patience))} if isinstance(classifier, HistogramTrees) else {"validationTol": patience}
+            classifier = classifier.setParams(validationIndicatorCol=VALIDATION, **stop)
         # A training table is read once per iteration; Spark recomputes lost cached blocks from the source.
         table = table.persist()
         try:

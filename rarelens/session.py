@@ -64,6 +64,14 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that `materialize` wrote and nothing needs any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/rarelens/" in path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many reduce tasks a shuffle is planned with."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
