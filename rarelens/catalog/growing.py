@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rarelens.catalog.registry import query, rounded
 from rarelens.operators import trees
 from rarelens.operators.trees import Growth
-from rarelens.plans import ensembles
+from rarelens.plans import attributions, ensembles, explain
 from rarelens.sources import tables
 
 WIDTH = 64
@@ -149,6 +149,57 @@ def class_tree_nodes(spark, d):
     return node_rows(ensembles.average(vectors(spark, d), ALL, "Class", growths=[growth], bins=BINS), spark)
 
 
+def _leaves_sql(r: int) -> str:
+    """(node, v, f1, b1, f2, b2, z1, z2) of tree r's leaves: features and bins of the turns, and the cover they let through."""
+    cover = lambda path: f"(SELECT sum(c)::DOUBLE FROM n{r}b WHERE starts_with(node, {path}))"
+    return f"""lf{r} AS (SELECT w.node, w.step * {RATE}::DOUBLE AS v, ka.f AS f1, ka.b AS b1, kb.f AS f2, kb.b AS b2,
+ {cover("substr(w.node, 1, 1)")} / {cover("''")} AS z1, {cover("w.node")} / {cover("substr(w.node, 1, 1)")} AS z2
+ FROM w{r} w LEFT JOIN k{r}a ka ON length(w.node) >= 1 LEFT JOIN k{r}b kb ON length(w.node) = 2 AND kb.node = substr(w.node, 1, 1)),
+o{r} AS (SELECT x1.vec_id, lf.*, ((x1.b <= b1) = (substr(node, 1, 1) = 'L'))::INTEGER AS o1, ((x2.b <= b2) = (substr(node, 2, 1) = 'L'))::INTEGER AS o2
+ FROM lf{r} lf JOIN bx x1 ON x1.f = f1 LEFT JOIN bx x2 ON x2.f = f2 AND x2.vec_id = x1.vec_id)"""
+
+
+def _phi_sql(r: int) -> str:
+    """What tree r's leaves add to the features of their paths, one or two of them."""
+    return f"""SELECT vec_id, f1 AS f, v * (o1 - z1) AS phi FROM o{r} WHERE f2 IS NULL UNION ALL
+SELECT vec_id, f1, v * (o1 * o2 - z1 * z2) FROM o{r} WHERE f1 = f2 UNION ALL
+SELECT vec_id, f1, v * (o1 - z1) * (z2 + o2) / 2 FROM o{r} WHERE f1 <> f2 UNION ALL
+SELECT vec_id, f2, v * (o2 - z2) * (z1 + o1) / 2 FROM o{r} WHERE f1 <> f2"""
+
+
+@query("tree_attributions", f"""WITH {boosting_sql(2)}, {_leaves_sql(0)}, {_leaves_sql(1)},
+phi AS (SELECT vec_id, f, sum(phi) AS phi FROM ({_phi_sql(0)} UNION ALL {_phi_sql(1)}) GROUP BY ALL),
+base AS (SELECT (SELECT sum(v * CASE WHEN f1 IS NULL THEN 1 WHEN f2 IS NULL THEN z1 ELSE z1 * z2 END) FROM lf0)
+              + (SELECT sum(v * CASE WHEN f1 IS NULL THEN 1 WHEN f2 IS NULL THEN z1 ELSE z1 * z2 END) FROM lf1) AS base)
+SELECT bx.vec_id, 'e' || bx.f AS feature, round(bx.v, 6) AS value, round(coalesce(phi, 0.0), 6) AS phi, round(base, 6) AS base
+FROM bx CROSS JOIN base LEFT JOIN phi ON phi.vec_id = bx.vec_id AND phi.f = bx.f""".replace("base AS (SELECT (SELECT", "mean AS (SELECT (SELECT").replace(
+    "CROSS JOIN base", "CROSS JOIN mean"))
+def tree_attribution_rows(spark, d):
+    """Exact attributions of every row and dimension along the paths of two boosted trees."""
+    return rounded(attributions.tree_attributions(vectors(spark, d), boosted(spark, d), ALL, key="vec_id"))
+
+
+@query("tree_importance", f"""WITH {boosting_sql(1)}, {_leaves_sql(0)},
+reach AS (SELECT node, avg(o1 * coalesce(o2, 1)) AS share FROM o0 GROUP BY node),
+back AS (SELECT vec_id, l.node, l.v, f1, f2, o1, o2, l.b1, l.b2 FROM o0 l),
+pairs AS (SELECT a.node, a.f1, a.f2, a.v, a.o1, a.o2, b.o1 AS p1, b.o2 AS p2, a.n * b.n::DOUBLE AS w FROM
+ (SELECT node, v, f1, f2, o1, o2, count(*) AS n FROM back GROUP BY ALL) a JOIN
+ (SELECT node, o1, o2, count(*) AS n FROM back GROUP BY ALL) b USING (node)),
+-- one or two features per leaf: the order of two features is averaged
+each AS (SELECT node, f1 AS f, o1, o2, sum(w * v * CASE WHEN f2 IS NULL THEN o1 - p1 WHEN f1 = f2 THEN o1 * o2 - p1 * p2 ELSE (o1 - p1) * (o2 + p2) / 2.0::DOUBLE END) AS s, any_value(f2) AS f2
+ FROM pairs GROUP BY ALL UNION ALL
+ SELECT node, f2, o1, o2, sum(w * v * (o2 - p2) * (o1 + p1) / 2.0::DOUBLE), NULL FROM pairs WHERE f1 <> f2 GROUP BY ALL),
+tot AS (SELECT count(*)::DOUBLE AS n FROM base),
+ph AS (SELECT b.vec_id, e.f, sum(e.s / (n * c.cnt)) AS phi FROM back b JOIN
+ (SELECT node, o1, o2, count(*) AS cnt FROM back GROUP BY ALL) c ON c.node = b.node AND c.o1 = b.o1 AND c.o2 IS NOT DISTINCT FROM b.o2
+ JOIN each e ON e.node = b.node AND e.o1 = b.o1 AND e.o2 IS NOT DISTINCT FROM b.o2, tot GROUP BY ALL)
+SELECT 'e' || d.f AS feature, round(coalesce((SELECT sum(abs(phi)) FROM ph WHERE ph.f = d.f) / (SELECT n FROM tot), 0.0), 6) AS mean_abs FROM (SELECT DISTINCT f FROM bx) d""")
+def tree_importance(spark, d):
+    """Mean absolute attribution of each dimension against all rows as background."""
+    table = vectors(spark, d)
+    return rounded(explain.global_importance(attributions.tree_attributions(table, boosted(spark, d, 1), ALL, key="vec_id", background=table)))
+
+
 @query("balanced_forest")
 def balanced_forest(spark, d):
     """Forest with class weights of each tree's own draw: share of leaves and rows by tree (draws come from key digests)."""

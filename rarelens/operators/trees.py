@@ -419,7 +419,7 @@ def _applied(tree: Tree, growth: Growth, r, edges: Sequence[Sequence[float]], sh
         tree.value[n], tree.rows[n] = leaf_value(growth, first, second), int(sums[2])
         tree.cover[n] = second if growth.criterion == "second_order" else first + second
     fill(node, r["total"])
-    if r["gain"] < 0:
+    if r["gain"] < 0 or tree.depth[node] == growth.max_depth:     # a root is scanned for its sums at any depth
         return []
     feature = -r["f"]
     inner = edges[feature]
