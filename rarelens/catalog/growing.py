@@ -216,3 +216,23 @@ def bin_edges(spark, d):
     edges = trees.quantile_edges(vectors(spark, d), ALL, BINS)
     lines = [(ALL[f], i, v) for f, e in enumerate(edges) for i, v in enumerate(e)]
     return rounded(spark.createDataFrame(lines, "feature string, edge long, value double"))
+
+
+def _digamma_sql(x: str) -> str:
+    up = f"({x} + 6.0::DOUBLE)"
+    series = "".join(f" - {c!r}::DOUBLE / {up} ** {2 * i}" for i, c in enumerate((1 / 12, -1 / 120, 1 / 252, -1 / 240, 1 / 132), start=1))
+    return f"(ln({up}) - 0.5::DOUBLE / {up}{series}" + "".join(f" - 1.0::DOUBLE / ({x} + {i})" for i in range(6)) + ")"
+
+
+@query("mutual_information_neighbours", f"""WITH x AS (SELECT vec_id, label AS y, f - 1 AS f, embedding[f]::DOUBLE AS v FROM embeddings, range(1, {WIDTH + 1}) r(f)),
+cl AS (SELECT label AS y, count(*) AS nc, sum(count(*)) OVER () AS n FROM embeddings GROUP BY 1),
+nb AS (SELECT a.vec_id, a.f, a.v, a.y, list_sort(list(abs(b.v - a.v)))[least(3, any_value(nc) - 1)] AS r FROM x a JOIN cl USING (y) JOIN x b ON b.f = a.f AND b.y = a.y AND b.vec_id <> a.vec_id GROUP BY ALL),
+m AS (SELECT nb.vec_id, nb.f, nb.y, count(*) AS m FROM nb JOIN x ON x.f = nb.f AND (abs(x.v - nb.v) < r OR x.v = nb.v) GROUP BY ALL)
+SELECT 'e' || f AS feature, round(greatest(max({_digamma_sql("n::DOUBLE")}) + avg({_digamma_sql("least(3, nc - 1)::DOUBLE")}) - avg({_digamma_sql("nc::DOUBLE")}) - avg({_digamma_sql("m::DOUBLE")}), 0), 6) AS mutual_information
+FROM m JOIN cl USING (y) GROUP BY f""")
+def mutual_information_neighbours(spark, d):
+    """Between each dimension of all vectors and their label, of ten values."""
+    from rarelens.operators.information import neighbor_mutual_information
+    emb = tables.sample_table(spark, d, "embeddings")
+    rows = emb.select("label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(ALL)])
+    return rounded(neighbor_mutual_information(rows, ALL, "label"))

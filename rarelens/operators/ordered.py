@@ -73,9 +73,12 @@ class RangeBuckets:
 
     def apply(self, df: DataFrame, prefix: str = "_bucket_") -> DataFrame:
         """Add `<prefix><column>`: the number of edges at or below the value (binary search on the JVM)."""
-        for column, edges in self.edges.items():
-            df = bucketize(df, column, edges, prefix + column)
-        return df
+        cut = {c: [float("-inf"), *[float(v) for v in e], float("inf")] for c, e in self.edges.items() if e}
+        if cut:
+            # all columns in one projection: a projection per column is analysed anew for each
+            stage = Bucketizer(splitsArray=list(cut.values()), inputCols=list(cut), outputCols=[prefix + c for c in cut], handleInvalid="keep")
+            df = stage.transform(df)
+        return df.withColumns({prefix + c: F.coalesce(F.col(prefix + c).cast("int"), F.lit(-1)) if c in cut else F.lit(0) for c in self.edges})
 
 
 def bucketize(df: DataFrame, column: str, edges: Sequence[float], output: str) -> DataFrame:
@@ -88,8 +91,16 @@ def bucketize(df: DataFrame, column: str, edges: Sequence[float], output: str) -
 
 
 def estimated_rows(df: DataFrame) -> float:
-    """The optimizer's estimate, from file sizes; it reads nothing. Too high an estimate only means more buckets."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """From the sizes of the files that the table comes from, which reads nothing; a table without files is counted.
+
+    A join multiplies the optimizer's own estimate, so the sources' sum bounds it.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sources = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    size = min(int(str(plan.stats().sizeInBytes())), sources)
+    if size >= 1 << 60:
+        return float(df.count())
     return size / (8 + sum(f.dataType.jsonValue() in ("string", "binary") and 20 or 8 for f in df.schema.fields))
 
 
@@ -109,10 +120,12 @@ def range_buckets(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
     n = buckets or bucket_count(df)
     probabilities = [i / n for i in range(1, n)]
     asked = double_array(probabilities)
-    sketches = [F.percentile_approx(c, asked, 10 * n).alias(f"e{i}") for i, c in enumerate(columns)]
     groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
     share = max(EDGE_SAMPLE, 40 * n) / max(estimated_rows(df), 1.0)
+    # groups are counted over all rows (a sketch of fixed size), in the same pass that sketches the sample's quantiles
     sampled = df.where(F.rand(17) < share) if share < 1 and not by else df
+    value = lambda c: F.when(F.rand(17) < share, F.col(c)) if share < 1 and by else F.col(c)
+    sketches = [F.percentile_approx(value(c), asked, 10 * n).alias(f"e{i}") for i, c in enumerate(columns)]
     row = sampled.agg(*sketches, groups.alias("groups")).first()
     edges = {}
     for i, c in enumerate(columns):
