@@ -2,7 +2,9 @@
 
 1. A task cuts its texts into chunks of a few megabytes and every chunk into pre-tokens (vectorised; the pattern below).
    The chunk keeps, per text, the positions' word numbers; its distinct words are exploded to the part of their hash.
-2. Each part sees every word that hashes to it, and merges each distinct one once; ids go back to the chunks that asked.
+   Words of one hash are compared byte by byte, so no two words are ever taken for one.
+2. Each part sees every word that hashes to it, and merges each distinct one once (the merging of a single word is the
+   tiktoken library's, given the ranks; a task remembers up to a million words); ids go back to the chunks that asked.
 3. Ids are joined to the chunk's word numbers and reassembled by position.
 
 Only distinct words per chunk travel, so a word that fills a third of all positions is one entry per chunk. Decoding
@@ -103,6 +105,30 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return token, np.searchsorted(offsets, token, "right") - 1
 
 
+#: Words whose ids a task remembers at most.
+KNOWN_WORDS = 1_000_000
+
+
+def distinct_words(data: np.ndarray, token: np.ndarray, stop: np.ndarray):
+    """(hashes, first occurrence, number of each token, counts) of the distinct tokens that tile `data`.
+
+    Every token is compared with the first one of its hash, byte by byte; one that differs is told apart by a keyed digest.
+    """
+    hashes, size = Rolling(data).of(token, stop), stop - token
+    while True:
+        distinct, first, number, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+        if not len(token):
+            return distinct, first, number, count
+        shift = np.repeat(token[first][number] - token, size)
+        equal = data[np.minimum(np.arange(len(data)) + shift, len(data) - 1)] == data
+        odd = np.flatnonzero((size != size[first][number]) | ~np.logical_and.reduceat(equal, token))
+        if not len(odd):
+            return distinct, first, number, count
+        for i in odd.tolist():
+            named = hashlib.blake2b(data[token[i]:stop[i]].tobytes(), digest_size=8, key=hashes[i].tobytes())
+            hashes[i] = np.frombuffer(named.digest(), np.uint64)[0]
+
+
 def _cut(parts: int, words_wanted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, data, offsets in slices(batches, CHUNK_BYTES):
@@ -111,8 +137,7 @@ def _cut(parts: int, words_wanted: bool):
             named = hashlib.blake2b(data.tobytes(), digest_size=8, key=b"chunk")
             named.update(offsets.tobytes())
             chunk = int.from_bytes(named.digest(), "little", signed=True)
-            hashes = Rolling(data).of(token, stop)
-            distinct, first, number, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+            distinct, first, number, count = distinct_words(data, token, stop)
             if words_wanted:
                 part = (distinct >> np.uint64(32)) % np.uint64(parts)
                 order = np.argsort(part, kind="stable")
@@ -179,6 +204,8 @@ def _merge_words(ranks):
                 for word in _unbundle(words):
                     ids = known.get(word)
                     if ids is None:
+                        if len(known) >= KNOWN_WORDS:
+                            known.clear()
                         ids = known[word] = merge(word.decode("utf-8"))
                     got.append(ids)
                 sizes = np.fromiter(map(len, got), np.uint32, len(got))

@@ -6,6 +6,12 @@ import hashlib
 import math
 import re
 
+def thue_morse(length, letters="ab"):
+    """A word and its complement: polynomial hashes modulo 2 ** 64 take the long ones for the same word."""
+    ones = [bin(i).count("1") % 2 for i in range(length)]
+    return "".join(letters[b] for b in ones), "".join(letters[1 - b] for b in ones)
+
+
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 #: null, empty, blank, tiny and repeated texts, characters of one to four bytes, a text of one letter, a very long one

@@ -5,7 +5,7 @@ import tiktoken
 
 from rarelens.llm import byte_bpe
 from rarelens.llm.catalog import tokenizer_ranks
-from tests.llm.brute import no_docs, odd_docs
+from tests.llm.brute import no_docs, odd_docs, thue_morse
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -53,3 +53,14 @@ def test_round_trip(spark, ranks, encoding):
 
 def test_empty_table(spark, ranks):
     assert byte_bpe.digests(no_docs(spark), ranks).count() == 0 and byte_bpe.encode(no_docs(spark), ranks).count() == 0
+
+
+def test_words_with_one_hash(spark, ranks, encoding):
+    words = [w for n in (1024, 2048) for w in thue_morse(n)]
+    texts = [*words, " ".join(words), " ".join(reversed(words)), "-".join(words[:2] * 3)]
+    check(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), ranks, encoding)
+
+
+def test_few_remembered_words(spark, ranks, encoding, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 3)
+    check(spark, odd_docs(spark), ranks, encoding)
