@@ -133,9 +133,18 @@ def sliding_alert_windows(spark, d):
     return rounded(seconds(w, "window_start", "window_end"))
 
 
-@query("latency_windows")
+GROWTH = "ln(1.01::DOUBLE / 0.99::DOUBLE)"
+
+
+@query("latency_windows", f"""WITH e AS (SELECT ({EPOCH}) // 86400 * 86400 AS s, event_type, json_extract_string(props, '$.k')::DOUBLE AS k FROM events),
+b AS (SELECT *, CASE WHEN k > 0 THEN ceil(ln(k) / {GROWTH}) WHEN k <= 0 THEN -2147483648 END AS b FROM e),
+q AS (SELECT s, event_type, count(*) AS requests, list_sort(list(b) FILTER (b IS NOT NULL)) AS bs FROM b GROUP BY 1, 2),
+p AS (SELECT *, bs[floor(0.5 * (len(bs) - 1))::BIGINT + 1] AS b50, bs[floor(0.95::DOUBLE * (len(bs) - 1))::BIGINT + 1] AS b95 FROM q)
+SELECT s AS window_start, s + 86400 AS window_end, event_type, requests, 0::BIGINT AS alerts, 0::BIGINT AS errors, 0.0::DOUBLE AS alert_rate, 0.0::DOUBLE AS error_rate,
+round(CASE WHEN b50 = -2147483648 THEN 0 ELSE exp(b50 * {GROWTH}) * 0.99::DOUBLE END, 6) AS latency_p50,
+round(CASE WHEN b95 = -2147483648 THEN 0 ELSE exp(b95 * {GROWTH}) * 0.99::DOUBLE END, 6) AS latency_p95 FROM p""")
 def latency_windows(spark, d):
-    """Sketched percentiles have no exact SQL; tests bound their rank error."""
+    """Median and 95th percentile within one per cent, from counts per logarithmic bucket."""
     w = monitor.request_windows(requests(spark, d), "1 day", by=["event_type"], latency="latency_ms")
     return rounded(seconds(w, "window_start", "window_end"))
 
@@ -296,3 +305,37 @@ def late_label_performance(spark, d):
     status = F.when(F.col("toxic").isNull(), "unlabelled").otherwise("labelled")
     return joined.groupBy(status.alias("status")).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("positives"))
+
+
+# Two windows in a row beyond a limit make a trigger, then the rule is quiet for five days.
+FIRED = f"""f AS (SELECT event_type AS subject, ({EPOCH}) // 86400 * 86400 AS s, avg(value) AS v FROM events GROUP BY 1, 2),
+r AS (SELECT *, v > 50 AS fired, lag(s) OVER (PARTITION BY subject ORDER BY s) AS prev, row_number() OVER (PARTITION BY subject ORDER BY s) AS n FROM f)"""
+TRIGGERS = f"""WITH RECURSIVE {FIRED},
+w AS (SELECT subject, s, v, n, fired::INTEGER AS streak, -4000000000::BIGINT AS triggered, false AS hit FROM r WHERE n = 1
+ UNION ALL SELECT subject, s, v, n, streak, CASE WHEN hit THEN s ELSE triggered END, hit FROM (
+  SELECT r.subject, r.s, r.v, r.n, CASE WHEN NOT r.fired THEN 0 WHEN r.s - r.prev = 86400 THEN w.streak + 1 ELSE 1 END AS streak, w.triggered,
+   r.fired AND (CASE WHEN r.s - r.prev = 86400 THEN w.streak + 1 ELSE 1 END) >= 2 AND r.s - w.triggered >= 432000 AS hit
+  FROM w JOIN r ON r.subject = w.subject AND r.n = w.n + 1))
+SELECT 'mean_above_limit' AS rule, subject, s AS window_start, streak::INTEGER AS streak, round(v, 6) AS value FROM w WHERE hit"""
+POLICY_OF_TRIGGERS = monitor.TriggerPolicy(consecutive=2, cool_down=5 * 86_400)
+
+
+def mean_rules(events, delay="1 hour"):
+    rows = events.withWatermark("ts", delay) if events.isStreaming else events
+    means = rows.groupBy(F.window("ts", "1 day").alias("window"), F.col("event_type").alias("subject")).agg(F.avg("value").alias("value"))
+    return means.select(F.lit("mean_above_limit").alias("rule"), "subject", F.unix_seconds("window.start").alias("window_start"), "value",
+                        (F.col("value") > 50).alias("fired"), *([F.window_time("window").alias("ts")] if events.isStreaming else []))
+
+
+@query("retrain_trigger_runs", TRIGGERS)
+def retrain_trigger_runs(spark, d):
+    """Daily means beyond a limit, two days in a row, with a pause between triggers."""
+    events = tables.event_time(tables.sample_table(spark, d, "events"))
+    return rounded(monitor.triggers(mean_rules(events), POLICY_OF_TRIGGERS))
+
+
+@query("stream_retrain_triggers", TRIGGERS.replace("WHERE hit", f"WHERE hit AND s + 86400 <= (SELECT max({EPOCH}) - 3600 FROM events)"))
+def stream_retrain_triggers(spark, d):
+    """The same over a stream, as far as its watermark has closed days: closed windows are written, and a second stream walks them."""
+    closed = jobs.stage(mean_rules(jobs.stream_events(spark, d)), "closed-days").withWatermark("ts", "0 seconds")
+    return rounded(jobs.run_available(monitor.triggers(closed, POLICY_OF_TRIGGERS), "triggers"))

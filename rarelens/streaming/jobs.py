@@ -38,6 +38,15 @@ def run_available(stream: DataFrame, purpose: str, output_mode: str = "append")
     return spark.read.schema(stream.schema).parquet(f"{path}/table")
 
 
+def stage(stream: DataFrame, purpose: str) -> DataFrame:
+    """A stream of what `run_available` wrote: for a step that Spark does not allow behind another stateful one."""
+    table = run_available(stream, purpose)
+    folder = table.inputFiles()[0].rsplit("/", 1)[0] if table.inputFiles() else None
+    if folder is None:
+        return stream
+    return stream.sparkSession.readStream.schema(stream.schema).parquet(folder)
+
+
 def start_continuous(stream: DataFrame, path: str, interval: str = "1 minute", output_mode: str = "append"):
     """The long-running form: same sink layout, a processing-time trigger, restartable from its state."""
     return (stream.writeStream.format("parquet").outputMode(output_mode)

@@ -5,14 +5,19 @@ Every function takes a batch or a streaming table; the watermark only takes effe
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rarelens.functions.rates import Confusion, ratio
+from rarelens.functions.sketch import log_bucket, sketch_quantile
 from rarelens.operators.ordered import double_array, quantiles
+from rarelens.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 # Fixed values
 DRIFT_FEATURES = ("Time", "Amount", "Hour", "hour_sin", "hour_cos", "Amount_log1p")
@@ -31,23 +36,30 @@ def _watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
 
 def request_windows(df: DataFrame, width: str = "1 hour", slide: str | None = None, delay: str = "1 hour",
                     ts: str = "ts", by: Sequence[str] = (), alert: Column | None = None,
-                    failed: Column | None = None, latency: str | None = None) -> DataFrame:
-    """Counts and rates per window: requests, alerts, errors and (approximate) p50/p95 latency.
+                    failed: Column | None = None, latency: str | None = None, error: float = 0.01) -> DataFrame:
+    """Counts and rates per window: requests, alerts, errors and p50/p95 latency within the relative `error`.
 
-    Percentiles are sketches here: a stream keeps them as bounded state.
+    Latencies are counted per logarithmic bucket first, and the buckets of a window are gathered then, both as plain
+    aggregations: a stream holds a line per open window and bucket. Unknown latencies count as requests only.
     """
     alert = alert if alert is not None else F.lit(False)
     failed = failed if failed is not None else F.lit(False)
     aggs = [F.count(F.lit(1)).alias("requests"), F.count(F.when(alert, 1)).alias("alerts"),
             F.count(F.when(failed, 1)).alias("errors")]
+    keys = [_window(ts, width, slide).alias("window"), *by]
+    rows = _watermarked(df, ts, delay)
     if latency:
-        aggs.append(F.percentile_approx(latency, [0.5, 0.95], 1000).alias("_latency"))
-    grouped = _watermarked(df, ts, delay).groupBy(_window(ts, width, slide).alias("window"), *by).agg(*aggs)
+        counted = rows.groupBy(*keys, log_bucket(F.col(latency), error).alias("bucket")).agg(*aggs)
+        line = F.when(F.col("bucket").isNotNull(), F.struct("bucket", F.col("requests").alias("n")))
+        grouped = counted.groupBy("window", *by).agg(F.array_sort(F.collect_list(line)).alias("_latency"),
+                                                     *[F.sum(c).alias(c) for c in ("requests", "alerts", "errors")])
+    else:
+        grouped = rows.groupBy(*keys).agg(*aggs)
     out = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by,
            "requests", "alerts", "errors", ratio(F.col("alerts"), F.col("requests")).alias("alert_rate"),
            ratio(F.col("errors"), F.col("requests")).alias("error_rate")]
     if latency:
-        out += [F.col("_latency")[0].alias("latency_p50"), F.col("_latency")[1].alias("latency_p95")]
+        out += [sketch_quantile(F.col("_latency"), p, error).alias(f"latency_p{p * 100:.0f}") for p in (0.5, 0.95)]
     return grouped.select(*out)
 
 
@@ -191,6 +203,75 @@ def retrain_triggers(drift: DataFrame, performance: DataFrame, baseline: Mapping
     return out
 
 
+@dataclass(frozen=True)
+class TriggerPolicy:
+    """When a fired rule becomes a trigger: after `consecutive` fired windows in a row, then not for `cool_down` seconds.
+
+    Windows are in a row if they start `width` seconds apart; a missing window breaks the row, as does one that did not fire.
+    """
+
+    consecutive: int = 2
+    cool_down: int = 3 * 86_400
+    width: int = 86_400
+
+
+def _walk(windows: Sequence[tuple[int, bool, float]], policy: TriggerPolicy, state: tuple[int, int, int]) -> tuple[list[tuple], tuple[int, int, int]]:
+    """Triggers (start, streak, value) of one rule's windows in order, from and to a state (last start, streak, last trigger)."""
+    last, streak, triggered = state
+    out = []
+    for start, fired, value in sorted(windows):
+        if start <= last:
+            continue                                            # a window counts once
+        streak = (streak + 1 if start - last == policy.width else 1) if fired else 0
+        last = start
+        if fired and streak >= policy.consecutive and start - triggered >= policy.cool_down:
+            out.append((start, streak, value))
+            triggered = start
+    return out, (last, streak, triggered)
+
+
+_NEVER = -(2 ** 62)
+
+
+def triggers(rules: DataFrame, policy: TriggerPolicy = TriggerPolicy()) -> DataFrame:
+    """(rule, subject, window_start, streak, value) from rows (rule, subject, window_start, value, fired) of closed windows.
+
+    `window_start` is in seconds. A stream keeps three numbers per rule and subject, for as long as a row of windows or a
+    cool-down can last: a timer forgets them once no window has come for that long. A batch walks each rule's windows, whose
+    number is that of the windows in the table's time span. A NULL `fired` is a window that did not fire. A stream needs a column
+    `ts` with a watermark, and, as Spark allows no such state behind an aggregation, windows that were written (`jobs.stage`).
+    """
+    schema = "rule string, subject string, window_start long, streak int, value double"
+    rows = rules.select("rule", "subject", F.col("window_start").cast("long").alias("window_start"), F.col("value").cast("double").alias("value"),
+                        F.coalesce("fired", F.lit(False)).alias("fired"), *(["ts"] if rules.isStreaming else []))
+
+    def lines(key, found) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *f) for f in found], columns=["rule", "subject", "window_start", "streak", "value"])
+
+    def parts(pdf: pd.DataFrame) -> list[tuple[int, bool, float]]:
+        return [(int(s), bool(f), float(v)) for s, f, v in zip(pdf["window_start"], pdf["fired"], pdf["value"], strict=True)]
+
+    if not rules.isStreaming:
+        def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            return lines(key, _walk(parts(pdf), policy, (_NEVER, 0, _NEVER))[0])
+        return rows.groupBy("rule", "subject").applyInPandas(whole, schema)
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        windows = [w for pdf in pdfs for w in parts(pdf)]
+        found, after = _walk(windows, policy, state.get if state.exists else (_NEVER, 0, _NEVER))
+        state.update(after)
+        # nothing later can depend on this state any more
+        forget = (after[0] + max(policy.cool_down, 2 * policy.width)) * 1000
+        state.setTimeoutTimestamp(max(forget, state.getCurrentWatermarkMs() + 1))
+        if found:
+            yield lines(key, found)
+
+    return rows.groupBy("rule", "subject").applyInPandasWithState(step, schema, "last long, streak long, triggered long", "append", "EventTimeTimeout")
+
+
 # Late labels -------------------------------------------------------------------------------------------------
 
 def join_late_labels(scores: DataFrame, labels: DataFrame, key: str = "row_id", horizon: str = "7 days",

@@ -126,3 +126,71 @@ def test_continuous_run_restarts_from_its_state(spark, tmp_path, small):
         finally:
             run.stop()
     assert spark.read.parquet(str(tmp_path / "out/table")).count() == spark.read.parquet(f"{small}/events.parquet").count()
+
+
+def test_latency_buckets_merge_and_bound_the_error(spark):
+    from rarelens.functions.sketch import log_bucket, sketch_quantile
+    rng = np.random.default_rng(8)
+    values = [float(v) for v in np.exp(rng.normal(2, 2, 900))] + [0.0, -3.0, 1e-9] + [7.0] * 400
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double").repartition(5)
+    for error in (0.01, 0.1):
+        counted = df.groupBy(log_bucket(F.col("x"), error).alias("bucket")).agg(F.count("*").alias("n")).where("bucket is not null")
+        lines = counted.agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("b"))
+        shares = (0.0, 0.25, 0.5, 0.95, 1.0)
+        row = lines.select(*[sketch_quantile(F.col("b"), q, error).alias(f"q{i}") for i, q in enumerate(shares)]).first()
+        for i, q in enumerate(shares):
+            exact = max(sorted(values)[math.floor(q * (len(values) - 1))], 0.0)
+            assert row[f"q{i}"] == pytest.approx(exact, rel=error * 1.0001, abs=1e-12)
+    empty = spark.range(1).select(sketch_quantile(F.array().cast("array<struct<bucket:int,n:long>>"), 0.5, 0.01).alias("q")).first()
+    assert empty["q"] is None
+    with pytest.raises(ValueError):
+        log_bucket(F.col("x"), 1.0)
+
+
+def test_latency_windows_of_a_stream_equal_the_batch(spark, small):
+    def windows(df):
+        return monitor.request_windows(df, "1 day", by=["event_type"], latency="value", failed=F.col("event_type") == "error")
+    batch = {(r["window_start"], r["event_type"]): r for r in windows(jobs.event_time(spark.read.parquet(f"{small}/events.parquet"))).collect()}
+    closed = jobs.run_available(windows(jobs.stream_events(spark, small)), "test-latency").collect()
+    assert len(closed) > 50 and all(batch[r["window_start"], r["event_type"]] == r for r in closed)
+
+
+def plain_triggers(rows, policy):
+    out = []
+    for subject in {r[0] for r in rows}:
+        streak, before, triggered = 0, None, None
+        for _, start, value, fired in sorted({r for r in rows if r[0] == subject}, key=lambda r: r[1]):
+            streak = 0 if not fired else streak + 1 if before is not None and start - before == policy.width else 1
+            before = start
+            if fired and streak >= policy.consecutive and (triggered is None or start - triggered >= policy.cool_down):
+                out.append((subject, start, streak, value))
+                triggered = start
+    return sorted(out)
+
+
+def rule_rows(n, seed):
+    rng = np.random.default_rng(seed)
+    return [(s, int(d) * 86_400, float(rng.random()), [True, True, False, None][rng.integers(0, 4)]) for s in ("a", "b", "c") for d in range(n) if rng.random() > 0.1]
+
+
+@pytest.mark.parametrize("consecutive,pause", [(1, 0), (2, 3), (3, 10)])
+def test_triggers_equal_a_plain_walk(spark, tmp_path, consecutive, pause):
+    policy = monitor.TriggerPolicy(consecutive, pause * 86_400)
+    rows = rule_rows(60, consecutive)
+    schema = "subject string, window_start long, value double, fired boolean"
+    shown = lambda df: sorted((r["subject"], r["window_start"], r["streak"], r["value"]) for r in df.collect())
+    batch = monitor.triggers(spark.createDataFrame(rows, schema).withColumn("rule", F.lit("r")), policy)
+    assert shown(batch) == plain_triggers(rows, policy) and shown(batch)
+    if consecutive != 2:
+        return
+    # in files of a few days each, with windows that come again
+    parts = [[r for r in rows if 8 * i <= r[1] // 86_400 < 8 * i + 8] for i in range(8)]
+    parts[3] = parts[3] + parts[2][:4]
+    stream = write_batches(spark, tmp_path, [p for p in parts if p], schema).withColumn("rule", F.lit("r"))
+    stream = stream.withColumn("ts", F.timestamp_seconds(F.col("window_start") + 86_399)).withWatermark("ts", "0 seconds")
+    assert shown(jobs.run_available(monitor.triggers(stream, policy), "test-triggers")) == plain_triggers(rows, policy)
+
+
+def test_triggers_of_no_rows(spark):
+    empty = spark.createDataFrame([], "rule string, subject string, window_start long, value double, fired boolean")
+    assert monitor.triggers(empty).count() == 0
