@@ -243,9 +243,32 @@ def ab_summary(spark, d):
 
 @query("cross_val_smote")
 def cross_val_smote(spark, d):
-    spec = models.ModelSpec("logreg", {"max_iter": 20}, FEATURES, scaler="standard", weights="balanced")
-    grow = lambda train: resample.oversample(train, FEATURES, "Class", "vec_id", ratio=0.3)
-    return rounded(search.score_spread(search.cross_val_score(spec, learning_table(spark, d), ["vec_id"], 2, resample=grow)))
+    """Scale, over-sample, fit: in this order inside every training fold."""
+    spec = models.ModelSpec("logreg", {"max_iter": 20}, FEATURES, scaler="standard", weights="balanced", resample={"key": "vec_id", "ratio": 0.3})
+    return rounded(search.score_spread(search.cross_val_score(spec, learning_table(spark, d), ["vec_id"], 2)))
+
+
+ALL_DIMENSIONS = [f"e{i}" for i in range(64)]
+
+
+@query("fit_only_resampling", """WITH t AS (SELECT vec_id, (label = 0)::INTEGER AS y, embedding FROM embeddings WHERE vec_id % 4 <> 0),
+c AS (SELECT sum(y) AS pos, count(*) - sum(y) AS neg FROM t), g AS (SELECT *, floor(0.3 * neg)::BIGINT AS grown FROM c),
+x AS (SELECT f - 1 AS f, embedding[f]::DOUBLE AS v FROM t, range(1, 65) r(f))
+SELECT 'e' || f AS feature, round(avg(v), 6) AS center, round(stddev_pop(v), 6) AS scale, (SELECT neg + grown FROM g)::BIGINT AS fitted_rows, (SELECT grown FROM g)::BIGINT AS fitted_positives,
+round((SELECT (neg + grown) / (2.0::DOUBLE * grown) FROM g), 6) AS positive_weight, (SELECT count(*) FROM t) AS transformed_rows FROM x GROUP BY f""")
+def fit_only_resampling(spark, d):
+    """A scaler fitted on raw rows before over-sampling, what the classifier would be fitted on, and how many rows come out of a transform."""
+    from rarelens.plans.fitonly import TrainingPipeline
+    spec = models.ModelSpec("logreg", {}, ALL_DIMENSIONS, scaler="standard", weights="balanced", resample={"key": "vec_id", "ratio": 0.3})
+    train = spec.training_table(tables.embedding_features(spark, d, 64).where("vec_id % 4 <> 0"), ["vec_id"])
+    fitted, rows = TrainingPipeline(stages=spec.steps()).prepare(train)
+    seen = rows.agg(F.count("*"), F.sum("label").cast("long"), F.max(F.when(F.col("label") == 1, F.col("_weight")))).first()
+    out = train
+    for stage in fitted:
+        out = stage.transform(out)
+    centers, scales, n = fitted[0].getOrDefault("centers"), fitted[0].getOrDefault("scales"), out.count()
+    lines = [(c, a, b, seen[0], seen[1], seen[2], n) for c, a, b in zip(ALL_DIMENSIONS, centers, scales)]
+    return rounded(spark.createDataFrame(lines, "feature string, center double, scale double, fitted_rows long, fitted_positives long, positive_weight double, transformed_rows long"))
 
 
 # Result tables -----------------------------------------------------------------------------------------------

@@ -24,6 +24,7 @@ from rarelens.operators.curves import average_precision
 from rarelens.operators.splits import class_weight
 from rarelens.plans.ensembles import HistogramTrees
 from rarelens.plans.estimators import PopulationScaler, RobustColumnScaler
+from rarelens.plans.fitonly import OverSampler, TrainingPipeline
 from rarelens.plans.scoring import positive_score
 
 LABEL, WEIGHT, VALIDATION = "label", "_weight", "_validation"
@@ -123,6 +124,9 @@ class ModelSpec:
     target: str = "Class"
     scaler: str | None = None  # None, "standard" or "robust"
     weights: str | float | Mapping = "none"
+    #: Options of `OverSampler` (with `key`): minority rows are drawn between the scaled training rows, at fit only.
+    resample: Mapping[str, Any] | None = None
+    spark_params: Mapping[str, Any] = field(default_factory=dict)
 
     def training_table(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """features + label (double) + weight; weights come from the class counts of these rows."""
@@ -133,21 +137,40 @@ class ModelSpec:
         build = FAMILIES[self.family] if isinstance(self.family, str) else self.family
         extra = {"total_weight": total_weight} if build is logistic else {}
         model = build(**{**self.params, **extra})
+        for name, value in self.spark_params.items():
+            model.set(model.getParam(name), value)
         return model.setWeightCol(WEIGHT) if model.hasParam("weightCol") else model
 
-    def pipeline(self, classifier) -> Pipeline:
+    def steps(self) -> list:
+        """What comes before the classifier: scaling, over-sampling at fit, assembling."""
         names = list(self.features)
         scaled = [f"{c}_scaled" for c in names] if self.scaler else names
         scalers = {None: [], "standard": [PopulationScaler(inputCols=names, outputCols=scaled)],
                    "robust": [RobustColumnScaler(inputCols=names, outputCols=scaled)]}
         assembler = VectorAssembler(inputCols=scaled, outputCol="features", handleInvalid="error")
-        return Pipeline(stages=[*scalers[self.scaler], assembler, classifier])
+        drawn = []
+        if self.resample is not None:
+            options = dict(self.resample)
+            drawn = [OverSampler(scaled, LABEL, options.pop("key"), WEIGHT, self.weights, **options)]
+        return [*scalers[self.scaler], *drawn, assembler]
+
+    def pipeline(self, classifier) -> Pipeline:
+        return TrainingPipeline(stages=[*self.steps(), classifier])
 
     def fit(self, train: DataFrame, validation: DataFrame | None = None, patience: float | int = 0.01) -> PipelineModel:
         """Fit on train only. With `validation`, boosted trees stop early on those rows.
 
         `patience` is the least gain of a round for "boosted_trees", a number of rounds without gain for "gradient_boosting".
         """
+        if self.resample is not None:
+            if validation is not None:
+                raise ValueError("over-sampling and stopping by validation rows are not combined")
+            fitted, rows = TrainingPipeline(stages=self.steps()).prepare(self.training_table(train, [self.resample["key"]]))
+            rows = rows.select("features", LABEL, WEIGHT).persist()
+            try:
+                return PipelineModel([*fitted, self.classifier(self._total_weight(rows)).fit(rows)])
+            finally:
+                rows.unpersist()
         table = self.training_table(train)
         classifier = self.classifier(self._total_weight(table))
         if validation is not None and classifier.hasParam("validationIndicatorCol"):

@@ -22,8 +22,9 @@ from rarelens.operators.curves import average_precision
 from rarelens.operators.evaluation import evaluate
 from rarelens.operators.profile import run_summary
 from rarelens.operators.splits import k_folds
+from rarelens.plans.fitonly import SpecEstimator
 from rarelens.plans.locking import choose
-from rarelens.plans.models import AveragePrecisionEvaluator, ModelSpec, score_model
+from rarelens.plans.models import LABEL, AveragePrecisionEvaluator, ModelSpec, score_model
 from rarelens.sources.reports import params_json, result_rows, stack_results
 
 Params = Mapping[str, Any]
@@ -62,15 +63,15 @@ class SearchResult:
 
 def cross_validate(spec: ModelSpec, df: DataFrame, keys: Sequence[str], candidates: Sequence[Params],
                    folds: int = 3, evaluator=None, parallelism: int = 4, seed: int = 42) -> SearchResult:
-    """Score every candidate with stratified folds. Candidates name parameters of the Spark classifier.
+    """Score every candidate with stratified folds. Candidates name parameters of the spec's family or of its Spark classifier.
 
-    The result table has (candidate, params_json, mean_test_score, std_test_score, rank), best first.
+    Class weights, the strength that `C` stands for and over-sampling come from each training fold alone. The result table has (candidate, params_json, mean_test_score, std_test_score, rank), best first.
     """
     folded = k_folds(df, spec.target, keys, folds, "_fold", seed)
-    table = spec.training_table(folded, ["_fold"])
-    classifier = spec.classifier(spec._total_weight(table))
-    maps = [{classifier.getParam(k): v for k, v in c.items()} for c in candidates]
-    search = CrossValidator(estimator=spec.pipeline(classifier), estimatorParamMaps=maps,
+    drawn = [spec.resample["key"]] if spec.resample is not None and spec.resample["key"] not in spec.features else []
+    table = folded.select(*spec.features, *drawn, spec.target, "_fold", F.col(spec.target).cast("double").alias(LABEL))
+    estimator = SpecEstimator(spec)
+    search = CrossValidator(estimator=estimator, estimatorParamMaps=estimator.maps(list(candidates)),
                             evaluator=evaluator or AveragePrecisionEvaluator(), numFolds=folds, foldCol="_fold",
                             parallelism=parallelism, seed=seed)
     table = table.persist()
