@@ -236,3 +236,44 @@ def mutual_information_neighbours(spark, d):
     emb = tables.sample_table(spark, d, "embeddings")
     rows = emb.select("label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(ALL)])
     return rounded(neighbor_mutual_information(rows, ALL, "label"))
+
+
+#: Ninety candidates: two criteria, five depths, three sizes to split, three sizes of a leaf.
+GRID = {"criterion": ["gini", "entropy"], "max_depth": [3, 5, 8, 12, None], "min_split": [2, 10, 50], "min_leaf": [1, 5, 20], "class_weight": ["balanced"]}
+
+
+@query("full_grid_search")
+def full_grid_search(spark, d):
+    """Ninety trees by three folds over all dimensions, in shared scans."""
+    from rarelens.plans.search import grid
+    from rarelens.plans.shared_search import shared_search
+    return rounded(shared_search(vectors(spark, d), ALL, "Class", ["vec_id"], grid(GRID), 3, "recall", BINS).table)
+
+
+def _fold_sql(c: int, f: int, leaf: int) -> str:
+    """CTEs of a balanced gini tree of depth 2 learned from the rows outside fold f, and its score of those inside."""
+    n = f"{c}{f}"
+    fits = f"least(ln, tn - ln) >= {leaf}"
+    return f"""cw{n} AS (SELECT count(*) / (2.0::DOUBLE * sum(y)) AS w1, count(*) / (2.0::DOUBLE * (count(*) - sum(y))) AS w0 FROM base WHERE vec_id % 2 <> {f}),
+r{n} AS MATERIALIZED (SELECT vec_id, '' AS node, CASE WHEN y = 0 THEN round(w0 * 2.0::DOUBLE ** {SHIFT}) ELSE 0 END::HUGEINT AS a,
+ CASE WHEN y = 1 THEN round(w1 * 2.0::DOUBLE ** {SHIFT}) ELSE 0 END::HUGEINT AS c FROM base, cw{n} WHERE vec_id % 2 <> {f}),
+{level_sql(f"{n}a", f"r{n}", 0, SHIFT, GINI, fits)}, {level_sql(f"{n}b", f"n{n}a", 1, SHIFT, GINI, fits)},
+l{n} AS (SELECT node, sum(c)::DOUBLE / (sum(a) + sum(c))::DOUBLE AS v FROM n{n}b GROUP BY node),
+p{n} AS (SELECT m.vec_id, m.y, CASE WHEN k.node IS NULL THEN '' WHEN bx.b <= k.b THEN 'L' ELSE 'R' END AS node
+ FROM base m LEFT JOIN k{n}a k ON true LEFT JOIN bx ON bx.vec_id = m.vec_id AND bx.f = k.f WHERE m.vec_id % 2 = {f}),
+q{n} AS (SELECT p.vec_id, p.y, CASE WHEN k.node IS NULL THEN p.node WHEN bx.b <= k.b THEN p.node || 'L' ELSE p.node || 'R' END AS node
+ FROM p{n} p LEFT JOIN k{n}b k ON k.node = p.node LEFT JOIN bx ON bx.vec_id = p.vec_id AND bx.f = k.f)"""
+
+
+LEAVES = (5, 40)
+
+
+@query("grid_fold_scores", f"WITH {BINNED.replace('LEARNED', 'true')}, " + ", ".join(_fold_sql(c, f, leaf) for c, leaf in enumerate(LEAVES) for f in range(2)) + " "
+       + " UNION ALL ".join(f"""SELECT {c} AS candidate, {f} AS fold, round((count(*) FILTER (y = 1 AND v > 0.5))::DOUBLE / count(*) FILTER (y = 1), 6) AS score
+FROM q{c}{f} JOIN l{c}{f} USING (node)""" for c in range(2) for f in range(2)))
+def grid_fold_scores(spark, d):
+    """Recall of two candidates in each of two folds that are given by the key's parity."""
+    from rarelens.plans.shared_search import shared_search
+    rows = vectors(spark, d).withColumn("parity", F.col("vec_id") % 2)
+    candidates = [{"max_depth": 2, "min_leaf": leaf, "class_weight": "balanced"} for leaf in LEAVES]
+    return rounded(shared_search(rows, ALL, "Class", ["vec_id"], candidates, 2, "recall", BINS, fold_col="parity").folds)
