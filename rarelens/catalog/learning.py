@@ -418,3 +418,33 @@ c AS (SELECT threshold, count(*) FILTER (p >= threshold AND "Class" = 0) AS fp,
 SELECT round(threshold, 6) AS threshold, fp, fn FROM c ORDER BY (fp * 1.0::DOUBLE + fn * 20.0::DOUBLE) / n, c.threshold LIMIT 1""")
 def scored_sweep_pick(spark, d):
     return rounded(sweep.pick_from_sweep(sweep.sweep(scored_tx(spark, d)), "cost").select("threshold", "fp", "fn"))
+
+
+PICKED = f"""{SCORED}, c AS ((SELECT 0 AS position, 'true_positive' AS name, row_id FROM sco WHERE "Class" = 1 AND p >= 0.5 ORDER BY p DESC, row_id LIMIT 1)
+UNION ALL (SELECT 1, 'true_negative', row_id FROM sco WHERE "Class" = 0 AND p < 0.5 ORDER BY p, row_id LIMIT 1)
+UNION ALL (SELECT 2, 'borderline', row_id FROM sco ORDER BY abs(p - 0.5), row_id LIMIT 1)),
+k AS (SELECT name, row_id, position, row_number() OVER (PARTITION BY row_id ORDER BY position) AS again FROM c),
+u AS (SELECT name, row_id, (row_number() OVER (ORDER BY position) - 1)::INTEGER AS position FROM k WHERE again = 1)"""
+
+
+@query("case_files", f"""WITH {PICKED} SELECT doc, layout, position, CASE WHEN doc = 'flat' THEN name || '_index' ELSE name END AS name, row_id AS row_index, NULL::VARCHAR AS error
+FROM u, (VALUES ('bare', 'list'), ('list', 'list'), ('map', 'map'), ('flat', 'flat')) d(doc, layout)
+UNION ALL VALUES ('broken', NULL, NULL, NULL, NULL, 'not a JSON object or list'), ('empty', 'map', NULL, NULL, NULL, 'no case index found in the document')""")
+def case_files(spark, d):
+    """The picked cases written as files of every layout, with two faulty ones, and read back."""
+    from rarelens.session import scratch_path
+    from rarelens.sources.configs import read_case_files
+    picked = explain.pick_cases(scored_tx(spark, d), 0.5)
+    order = F.when(F.col("name") == "true_positive", 0).when(F.col("name") == "true_negative", 1).otherwise(2)
+    cases = F.array_sort(F.collect_list(F.struct(order.alias("o"), "name", F.col("row_index").cast("string").alias("i"))))      # three cases
+    every = lambda form: F.concat_ws(", ", F.transform("cases", form))
+    quote, tie = F.lit('"'), F.concat
+    one = lambda c: tie(F.lit('{"name": "'), c["name"], F.lit('", "index": '), c["i"], F.lit("}"))
+    docs = {"list": tie(F.lit('{"threshold": 0.5, "cases": ['), every(one), F.lit("]}")), "bare": tie(F.lit("["), every(one), F.lit("]")),
+            "map": tie(F.lit('{"cases": {'), every(lambda c: tie(quote, c["name"], F.lit('": {"test_index": '), c["i"], F.lit("}"))), F.lit("}}")),
+            "flat": tie(F.lit("{"), every(lambda c: tie(quote, c["name"], F.lit('_index": '), c["i"])), F.lit("}")),
+            "broken": F.lit("{not json"), "empty": F.lit('{"cases": {"a": {"b": 1}}}')}
+    path = scratch_path(spark, "case-files")
+    lines = picked.agg(cases.alias("cases")).select(F.explode(F.array(*[F.struct(F.lit(k).alias("doc"), v.alias("value")) for k, v in docs.items()])).alias("r")).select("r.*")
+    lines.write.partitionBy("doc").text(path)
+    return read_case_files(spark, path).drop("file")

@@ -339,3 +339,34 @@ def stream_retrain_triggers(spark, d):
     """The same over a stream, as far as its watermark has closed days: closed windows are written, and a second stream walks them."""
     closed = jobs.stage(mean_rules(jobs.stream_events(spark, d)), "closed-days").withWatermark("ts", "0 seconds")
     return rounded(jobs.run_available(monitor.triggers(closed, POLICY_OF_TRIGGERS), "triggers"))
+
+
+#: Payload shapes of requests: the row's own amount, then values of other types, other fields and broken texts.
+PAYLOAD_SHAPES = ('{"Time": 5, "Amount": ?}', '{"Time": 5.5, "Amount": "12"}', '{"Time": true, "Amount": ?}', '{"Time": null, "Amount": [1]}',
+                  '{"Time": 7, "Amount": {"value": ?}}', '{"Time": 7, "Amount": 1e400}', '{"Time": -1, "Amount": -2.5}', '{"Amount": ?}',
+                  '{"Time": 1, "Amount": ?, "note": {"Amount": 3}, "extra": []}', 'not json', '[1, 2]', '{"Time": 1, "Amount": ?', '{"Time": 1, "Amount": NaN}', '{}', '7')
+_SHAPES_SQL = "[" + ", ".join("'" + s + "'" for s in PAYLOAD_SHAPES) + "]"
+
+
+def _typed_sql(c: str) -> str:
+    t = f"json_type(j, '$.{c}')"
+    return f"""CASE WHEN j IS NULL OR NOT list_contains(json_keys(j), '{c}') THEN NULL WHEN {t} = 'NULL' THEN '{c}: null' WHEN {t} = 'VARCHAR' THEN '{c}: string, not a number'
+ WHEN {t} = 'BOOLEAN' THEN '{c}: boolean, not a number' WHEN {t} = 'ARRAY' THEN '{c}: list, not a number' WHEN {t} = 'OBJECT' THEN '{c}: object, not a number'
+ WHEN isinf(json_extract_string(j, '$.{c}')::DOUBLE) THEN '{c}: infinite' WHEN json_extract_string(j, '$.{c}')::DOUBLE < 0 THEN '{c}: negative' END"""
+
+
+@query("typed_payloads", f"""WITH {TX}, p AS (SELECT row_id, replace({_SHAPES_SQL}[row_id % {len(PAYLOAD_SHAPES)} + 1], '?', (row_id % 1000)::VARCHAR || '.25') AS t FROM tx),
+v AS (SELECT row_id, CASE WHEN json_valid(replace(t, '1e400', '9e999')) AND left(t, 1) = '{{' AND t NOT LIKE '%NaN%' THEN t END AS j FROM p),
+k AS (SELECT row_id, j, list_filter(['Time', 'Amount'], lambda c: NOT list_contains(json_keys(j), c)) AS missing,
+ list_sort(list_filter(json_keys(j), lambda c: c NOT IN ('Time', 'Amount'))) AS extra FROM v)
+SELECT row_id, CASE WHEN j IS NULL THEN 'payload is not a JSON object' ELSE array_to_string(list_concat(list_transform(missing, lambda c: 'missing field: ' || c),
+ list_concat(list_transform(extra, lambda c: 'unexpected field: ' || c), list_filter([{_typed_sql('Time')}, {_typed_sql('Amount')}], lambda r: r IS NOT NULL))), '; ') END AS reasons,
+ CASE WHEN j IS NOT NULL AND json_type(j, '$.Amount') IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND NOT isinf(json_extract_string(j, '$.Amount')::DOUBLE) THEN json_extract_string(j, '$.Amount')::DOUBLE END AS amount
+FROM k""")
+def typed_payloads(spark, d):
+    """Payloads of every transaction judged by the types of their values."""
+    t = tables.transactions(spark, d)
+    shapes = F.array(*[F.lit(s) for s in PAYLOAD_SHAPES])
+    text = F.replace(F.get(shapes, (F.col("row_id") % len(PAYLOAD_SHAPES)).cast("int")), F.lit("?"), F.concat((F.col("row_id") % 1000).cast("string"), F.lit(".25")))
+    found = scoring.parse_typed_payloads(t.select("row_id", text.alias("payload")), CONTRACT)
+    return found.select("row_id", F.array_join("reasons", "; ").alias("reasons"), F.when(F.abs("Amount") < float("inf"), F.col("Amount")).alias("amount"))

@@ -94,6 +94,39 @@ def parse_payloads(df: DataFrame, contract: FeatureContract, text: str = "payloa
     return raw.withColumn("reasons", reasons).drop("_broken", "_missing", "_unexpected")
 
 
+def parse_typed_payloads(df: DataFrame, contract: FeatureContract, text: str = "payload") -> DataFrame:
+    """JSON payloads to raw columns (doubles) plus `reasons`, judged by the type of each value as it was written.
+
+    Values are parsed once into variants: a quoted number, a boolean, a list or an object is not a number, whatever its text,
+    and a number too large for a double is infinite. A payload that is not one object with distinct keys, or that holds bare
+    NaN or Infinity, is not a JSON object. Missing and unexpected fields are reported together with bad values.
+    """
+    object_of = F.try_variant_get(F.try_parse_json(F.col(text)), "$", "map<string,variant>")
+    is_object = F.ltrim(F.col(text)).startswith("{")
+    parsed = df.withColumn("_m", F.when(is_object, object_of))
+    names = F.array(*[F.lit(c) for c in contract.raw])
+    keys = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>"))
+    label = lambda prefix: (lambda c: F.concat(F.lit(prefix), c))
+    missing = F.transform(F.array_except(names, keys), label("missing field: "))
+    unexpected = F.transform(F.array_sort(F.array_except(keys, names)), label("unexpected field: "))
+    values = {c: F.try_variant_get(F.col("_m")[c], "$", "double") for c in contract.raw}
+    rules = []
+    for c in contract.raw:
+        kind = F.schema_of_variant(F.col("_m")[c])
+        named = (F.when(kind == "VOID", "null").when(kind == "STRING", "string, not a number").when(kind == "BOOLEAN", "boolean, not a number")
+                 .when(kind.startswith("ARRAY"), "list, not a number").when(kind.startswith("OBJECT"), "object, not a number")
+                 .when(F.abs(values[c]) == float("inf"), "infinite").when(values[c].isNull(), "not numeric"))
+        if c in ("Time", "Amount"):
+            named = F.coalesce(named, F.when(values[c] < 0, "negative"))
+        rules.append(F.when(F.array_contains(keys, c), F.concat(F.lit(f"{c}: "), named)))
+    reasons = F.when(F.col("_m").isNull(), F.array(F.lit("payload is not a JSON object"))).otherwise(
+        F.concat(missing, unexpected, F.array_compact(F.array(*rules))))
+    # only a value that is a number becomes one
+    number = lambda c: F.when(F.schema_of_variant(F.col("_m")[c]).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"), values[c]).alias(c)
+    own = [c for c in df.columns if c not in contract.raw]
+    return parsed.select(*own, *[number(c) for c in contract.raw], reasons.alias("reasons"))
+
+
 def with_reasons(df: DataFrame, contract: FeatureContract) -> DataFrame:
     return df.withColumn("reasons", row_reasons(contract))
 

@@ -207,3 +207,17 @@ def test_amount_features_learn_on_train_only(spark):
     rows = estimators.AmountFeatures().fit(train).transform(other).collect()
     assert [r["amount_gt_90"] for r in rows] == [0, 1, 0, 1, 1]  # strictly above
     assert [r["amount_bin"] for r in rows] == [2, 2, 1, 3, 3]  # at or above
+
+
+def test_typed_payload_reasons(spark):
+    texts = ['{"Time": 1, "Amount": 2.5}', '{"Time": 1, "Amount": 2, "Amount": 3}', '{"Amount": "2"}', '{"Time": [], "Amount": {"Amount": 1}, "x": {"y": 1}}',
+             '{"Time": 1e400, "Amount": -1}', '{"Time": 12345678901234567890123, "Amount": false}', "", None, " {}", '{"Time": 1.5e2, "Amount": null}', "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, payload string")
+    contract = scoring.FeatureContract(raw=("Time", "Amount"), version="t")
+    got = {r["row_id"]: (r["Time"], r["Amount"], r["reasons"]) for r in scoring.parse_typed_payloads(df, contract).collect()}
+    broken = (None, None, ["payload is not a JSON object"])
+    assert got == {
+        0: (1.0, 2.5, []), 1: broken, 2: (None, None, ["missing field: Time", "Amount: string, not a number"]),
+        3: (None, None, ["unexpected field: x", "Time: list, not a number", "Amount: object, not a number"]),
+        4: (float("inf"), -1.0, ["Time: infinite", "Amount: negative"]), 5: (12345678901234567890123.0, None, ["Amount: boolean, not a number"]),
+        6: broken, 7: broken, 8: (None, None, ["missing field: Time", "missing field: Amount"]), 9: (150.0, None, ["Amount: null"]), 10: broken}

@@ -116,3 +116,39 @@ def test_dense_and_pairwise_correlation_agree(spark, small):
     dense = {(r[0], r[1]): r[2] for r in correlate.dense_pearson(df, names).collect()}
     for r in correlate.pearson_matrix(df, names).collect():
         assert dense[r["column_a"], r["column_b"]] == pytest.approx(r["value"])
+
+
+def written(spark, path, docs):
+    lines = spark.createDataFrame(list(docs.items()), "doc string, value string")
+    lines.write.partitionBy("doc").text(str(path))
+    return str(path)
+
+
+def test_case_files_of_all_layouts(spark, tmp_path):
+    from rarelens.sources.configs import read_case_files
+    docs = {"list": '{"threshold": 0.5, "cases": [{"name": "b", "index": 7}, {"idx": "9"}, {"index": 7}, {"other": 1}, 5]}', "bare": '[{"test_index": 3}]',
+            "map": '{"cases": {"z": {"index": 4}, "a": {"test_index": 2}}}', "plain": '{"z": {"index": 1}, "a": {"index": 0}}',
+            "flat": '{"true_index": 8, "Index of fp": 6, "note": "x"}', "null": '{"cases": null, "first_index": 2}',
+            "text": "hello", "number": "12", "nothing": '{"a": 1}'}
+    rows = {}
+    for r in read_case_files(spark, written(spark, tmp_path / "cases", docs)).collect():
+        rows.setdefault(r["doc"], []).append((r["position"], r["name"], r["row_index"], r["layout"], r["error"]))
+    assert {k: sorted(v, key=str) for k, v in rows.items()} == {
+        "list": [(0, "b", 7, "list", None), (1, None, 9, "list", None)], "bare": [(0, None, 3, "list", None)],
+        "map": [(0, "z", 4, "map", None), (1, "a", 2, "map", None)], "plain": [(0, "z", 1, "map", None), (1, "a", 0, "map", None)],
+        "flat": [(0, "true_index", 8, "flat", None), (1, "Index of fp", 6, "flat", None)], "null": [(0, "first_index", 2, "flat", None)],
+        "text": [(None, None, None, None, "not a JSON object or list")], "number": [(None, None, None, None, "not a JSON object or list")],
+        "nothing": [(None, None, None, "flat", "no case index found in the document")]}
+
+
+def test_policy_files_with_their_errors(spark, tmp_path):
+    from rarelens.sources.configs import read_policy_files
+    good = '{"policy_name": "p", "policy_version": "1", "threshold": 0.25, "reference_model_artifact": "m.bin", "more": [1]}'
+    docs = {"good": good, "text": good.replace("0.25", '"0.25"'), "high": good.replace("0.25", "1.5"), "blank": good.replace("m.bin", "  "),
+            "less": '{"policy_name": "p", "threshold": 1}', "list": "[]", "broken": "{", "bool": good.replace("0.25", "true")}
+    got = {r["doc"]: (r["threshold"], r["errors"]) for r in read_policy_files(spark, written(spark, tmp_path / "policies", docs)).collect()}
+    number = "threshold must be a number"
+    assert got == {"good": (0.25, []), "text": (None, [number]), "bool": (None, [number]), "high": (1.5, ["threshold must lie in 0 to 1"]),
+                   "blank": (0.25, ["reference_model_artifact must be a text that is not blank"]),
+                   "less": (1.0, ["missing key: policy_version", "missing key: reference_model_artifact"]), "list": (None, ["not a JSON object"]),
+                   "broken": (None, ["not a JSON object"])}
