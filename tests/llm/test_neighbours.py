@@ -58,6 +58,33 @@ def test_scan_keeps_the_nearest():
     data = rng.standard_normal((3000, 64))
     hit = 0
     for q in rng.standard_normal((20, 64)):
-        kept = neighbours.scan(data, q, 6, 16, 2.1)
+        kept, added = neighbours.scan(data, q, 6, 16, 2.1)
+        assert added < data.size
         hit += len(set(np.argsort(((data - q) ** 2).sum(1))[:6]) & set(kept.tolist()))
     assert hit >= 0.97 * 120
+
+
+def test_a_bound_from_before_abandons_far_candidates_and_keeps_near_ones():
+    rng = np.random.default_rng(8)
+    data = rng.standard_normal((2000, 64))
+    query = data[7] + 0.1 * rng.standard_normal(64)
+    kept, added = neighbours.scan(data, query, 6, 8, 2.1, bound=2.0)
+    assert kept.tolist() == [7] and added < 0.3 * data.size
+    assert neighbours.scan(data, query, 6, 8, 2.1, bound=0.0)[0].tolist() == []
+
+
+def test_candidates_are_abandoned_and_few_are_met_where_vectors_cluster(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((40, 32))
+    rows = [(i, (centres[i % 40] + 0.2 * rng.standard_normal(32)).tolist()) for i in range(4000)]
+    out = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 50, probe=0.1, first=0.03)
+    got, want = found(out), exact(rows, 5, 50)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
+    per_query = out.dropDuplicates(["query_id"]).selectExpr("avg(met) AS met", "avg(added) AS added").first()
+    assert per_query["met"] < 0.2 * len(rows) and per_query["added"] < 0.9
+
+
+def test_abandonment_on_the_given_vectors(spark, small):
+    work = QUERIES["op5_nearest_neighbours"](spark, small.replace("sf0.001", "sf0.01")).selectExpr("avg(added) AS added", "min(met) AS met").first()
+    assert work["added"] < 0.97 and work["met"] > 0
