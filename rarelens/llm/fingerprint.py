@@ -23,12 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rarelens.operators.ordered import range_buckets
 from rarelens.session import materialize
 
 #: (subsets, slots of 1/4096 per subset): a partition of all slots, then densities 1/128, 1/512 and 1/2048.
 SUBSETS = ((16, 256), (16, 32), (16, 8), (16, 2))
 SLOTS = 4096
-USED = SLOTS
+#: Most ranges of ids; the one window over all ranges orders no more lines than this.
+RANGES = 10_000
 LEXICON_BROADCAST = 2_000_000
 
 
@@ -60,9 +62,11 @@ def _entry(members: Column) -> Column:
 
 def fingerprints(texts: DataFrame, band: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """keys, keep and `entries` of rows (keys, keep, text); rows with equal keys must be equal."""
-    exploded = texts.select(*keys, *keep, F.xxhash64("text").alias("__text"), F.explode_outer(terms(F.col("text"))).alias("term"))
+    exploded = texts.select(*keys, *keep, F.xxhash64("text").alias("__text"), F.posexplode_outer(terms(F.col("text"))).alias("__at", "term"))
     bounded = F.broadcast(band) if band.count() <= LEXICON_BROADCAST else band
     marked = exploded.join(bounded.select("term", F.lit(True).alias("__in")), "term", "left")
+    # a text's first line stays in any case, so that texts without a term in the lexicon have a row
+    marked = marked.where(F.col("__in") | (F.coalesce("__at", F.lit(0)) == 0))
     term = F.when(F.col("__in"), F.col("term"))
     found = marked.groupBy(*keys).agg(F.bit_xor(term).alias("__all"), F.first("__text").alias("__text"), *[F.first(c).alias(c) for c in keep],
                                       *[F.bit_xor(F.when(m, term)).alias(f"__e{r}") for r, m in enumerate(_members(F.col("term")))])
@@ -90,20 +94,21 @@ def likeness(a: str, b: str) -> Column:
 def with_next(texts: DataFrame, per_bucket: int = 1000) -> DataFrame:
     """(id, text, next_id, next_text): the next document in descending order of id, after the last the first.
 
-    Ids are cut into equal ranges of about `per_bucket` documents; the order is a window inside a range, and each range also
-    gets the first document of the next one. Repeated ids are reduced to one row.
+    Ids are cut into ranges of about `per_bucket` documents (at most `RANGES` ranges) at quantiles of a sample, so ids may
+    lie anywhere; the order is a window inside a range, and each range also gets the first document of the next one.
+    Repeated ids are reduced to one row.
     """
-    ids = texts.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
-    if not ids["n"]:
+    total = texts.count()
+    if not total:
         return texts.select("id", "text", F.col("id").alias("next_id"), F.col("text").alias("next_text"))
-    width = max(1, (int(ids["high"]) - int(ids["low"]) + 1) * per_bucket // ids["n"])
-    bucket = F.floor((F.col("id") - F.lit(int(ids["low"]))) / F.lit(width)).cast("long")
-    first = materialize(texts.groupBy(bucket.alias("bucket")).agg(F.max("id").alias("id")), "ranges")
+    cuts = range_buckets(texts.select("id"), ["id"], buckets=max(2, min(RANGES, -(-total // per_bucket))))
+    texts = cuts.apply(texts.select("id", "text")).withColumnRenamed("_bucket_id", "bucket")
+    first = materialize(texts.groupBy("bucket").agg(F.max("id").alias("id")), "ranges")
     # one row per range: the range before (in descending order) also gets this range's first document
     last_range = F.first("bucket").over(Window.orderBy("bucket"))
     ghosts = first.select("id", F.coalesce(F.lead("bucket").over(Window.orderBy("bucket")), last_range).alias("bucket"))
-    rows = texts.select("id", "text", bucket.alias("bucket"), F.lit(0).alias("ghost"))
-    extra = texts.join(ghosts, "id").select("id", "text", "bucket", F.lit(1).alias("ghost"))
+    rows = texts.select("id", "text", "bucket", F.lit(0).alias("ghost"))
+    extra = texts.drop("bucket").join(ghosts, "id").select("id", "text", "bucket", F.lit(1).alias("ghost"))
     both = rows.unionByName(extra).repartition("bucket")
     once = both.withColumn("__n", F.row_number().over(Window.partitionBy("bucket", "ghost", "id").orderBy("text"))).where("__n = 1")
     order = Window.partitionBy("bucket").orderBy("ghost", F.desc("id"))
