@@ -3,7 +3,7 @@
 Patterns are matched leftmost and without overlap per kind; matches under the kind's length are dropped afterwards, so what
 a short match has consumed is not matched again. Spans are code points, end exclusive.
 
-Entropy: candidates are runs of `[A-Za-z0-9+/_=-]` of a window's length at least that hold a digit. Each is scanned by a
+Entropy: candidates are runs of `[A-Za-z0-9+/_=-]` of a window's length at least. Each is scanned by a
 window of its character class (hexadecimal digits and dashes, else the base-64 alphabet). Counts per character are kept and
 changed by the entering and the leaving character, and so is the sum of c log2 c, from which the Shannon entropy follows.
 The span goes from the first to the last window over the class's threshold. Candidates that match the allow-list, and spans
@@ -31,8 +31,11 @@ KINDS = (
 ENTROPY = "entropy"
 #: (alphabet, window, threshold in bits): the first class whose alphabet holds the whole candidate is used.
 CLASSES = (("0123456789abcdefABCDEF-", 20, 3.0), ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 20, 3.6))
-#: Candidates that match one of these are not reported: numbers, dates, placeholders, paths of words.
-ALLOWED = (r"^[0-9_=+/-]+$", r"(?i)example|placeholder|x{4,}|your[_-]|0123456789|abcdefgh", r"^(?:[A-Za-z]{2,}[/_=+-]+)*[A-Za-z]*[0-9]{0,4}$")
+#: Candidates that match one of these are not reported: numbers, dates, placeholders, and words in a row (lower case, upper
+#: case or camel case, joined by anything of the alphabet, with up to four digits at the end). Letters whose case changes within
+#: words are no words. The loops are possessive, so a long candidate is read once.
+ALLOWED = (r"^[0-9_=+/-]+$", r"(?i)example|placeholder|x{4,}|your[_-]|0123456789|abcdefgh",
+           r"^[/_=+-]*+(?:(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}(?![a-z])|[A-Za-z](?![A-Za-z]))[/_=+-]*+)*+[0-9]{0,4}$")
 
 
 def _weight(c: Column) -> Column:
@@ -80,7 +83,7 @@ def find_secrets(rows: DataFrame, text_col: str = "text", classes=CLASSES, allow
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     least = min(w for _, w, _ in classes)
     charset = r"[A-Za-z0-9+/_=-]"
-    candidate = rf"(?<!{charset})(?=[A-Za-z+/_=-]*[0-9]){charset}{{{least},}}"
+    candidate = rf"(?<!{charset}){charset}{{{least},}}"
     patterns = [(p, k) for k, (_, p, _, _) in enumerate(KINDS)] + [(candidate, len(KINDS))]
     found = rows.select(*columns, text.alias("__text"), *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(f"__m{k}") for p, k in patterns])
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,match:string>>")

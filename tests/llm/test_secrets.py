@@ -43,6 +43,16 @@ def test_entropy_adds_spans_and_the_allow_list_suppresses(spark):
     assert got[11] == "entropy:4:28" and got[2] == text_of(base_secrets(TEXTS[2])) and got[12] == "hex:0:30" and got[13] == "" and got[14] == "hex:0:31"
 
 
+def test_letters_without_digits_are_judged_and_words_are_free(spark):
+    secret = ["qWzXcVbNmLkJhGfDsApOiUyT", "aQ/zXcVb+NmLkJhGfDsApOiUyTw=", "qWzXcVbNmLkJhGfDsApOiUyT1234"]
+    free = ["com/some/long/path/of/words/here", "getTheLongCamelCaseIdentifierName", "UPPER_CASE_CONSTANT_OF_WORDS_2024", "internationalization-of-everything",
+            "HTTPServerRequestHandlerFactory", "a-b-c-d-e-f-g-h-i-j-k-l-m-n-o-p", "_" * 30 + "x", "xy" * 5000 + "/" * 200]
+    df = spark.createDataFrame([(i, f"see {w} here") for i, w in enumerate(secret + free)], "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in secrets.find_secrets(df).select("doc_id", secrets.joined("secret_spans").alias("s")).collect()}
+    assert [got[i] for i in range(3)] == [f"entropy:4:{4 + len(w)}" for w in secret]
+    assert not {w[:40]: got[3 + i] for i, w in enumerate(free) if got[3 + i]}
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdef12 b", 0), (2, "clean", 0), (3, None, 0), (4, "key 9aF3kLmZ81qXyW0pTr5VbN2c and deadbeefdeadbeefdeadbeef.", 0)], "doc_id long, text string, extra int")
     out = secrets.redact(secrets.find_secrets(df))
