@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from rarelens.functions.features import hash_unit, stable_hash
 from rarelens.operators.ingest import sample_exact
-from rarelens.operators.ordered import join_on, quantiles
+from rarelens.operators.ordered import hash_bucket, join_on, quantiles, running_totals
 from rarelens.plans.scoring import positive_score
 from rarelens.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-BACKGROUND_LIMIT = 10_000
+#: Values of a background that is broadcast; a larger one is joined in a shuffle.
+BACKGROUND_BROADCAST = 500_000
 
 
 def pick_cases(scored: DataFrame, threshold: float, key: str = "row_id", label: str = "label",
@@ -62,22 +63,25 @@ def shapley_attributions(rows: DataFrame, background: DataFrame, model: Transfor
     Every draw takes one background row and one feature order, walks from the background to the row one
     feature at a time, and credits each change of the score to the feature that moved. All steps of all rows
     are scored by one transform. A row's attributions sum to its score minus its mean background score.
+    The background may have any size; without a background row there is no attribution.
     """
-    if background_size > BACKGROUND_LIMIT:
-        raise ValueError(f"background_size is broadcast and may not exceed {BACKGROUND_LIMIT}")
     names = list(features)
     vector = F.array(*[F.col(f).cast("double") for f in names])
     stand_ins = sample_exact(background, [key], background_size, seed).select(
         stable_hash(key, seed=seed).alias("_h"), vector.alias("_b"))
-    # The whole sample as one sorted array in a single row: bounded by BACKGROUND_LIMIT.
-    pool = stand_ins.agg(F.transform(F.array_sort(F.collect_list(F.struct("_h", "_b"))), lambda r: r["_b"])).scalar()
+    # The background rows are numbered in digest order; a draw picks a number, and the row comes by a join on it.
+    points = stand_ins.select(hash_bucket("_h").alias("_bucket"), F.struct("_h", "_b").alias("_at"), "_b", F.lit(1).alias("one"))
+    numbered = running_totals(points, [], "_bucket", "_at", ["one"]).select((F.col("one_upto") - 1).cast("long").alias("_pick"), "_b")
+    if background_size * len(names) <= BACKGROUND_BROADCAST:
+        numbered = F.broadcast(numbered)
+    size = stand_ins.agg(F.count(F.lit(1))).scalar()
     drawn = rows.select(key, vector.alias("_x")).withColumn("_draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    drawn = drawn.withColumn("_pool", pool)
-    pick = F.floor(hash_unit(key, "_draw", seed=f"{seed}-background") * F.size("_pool")).cast("int") + 1
+    pick = F.floor(hash_unit(key, "_draw", seed=f"{seed}-background") * size).cast("long")
+    drawn = drawn.withColumn("_pick", pick).join(numbered, "_pick")
     order = F.transform(F.array_sort(F.array(*[
         F.struct(stable_hash(key, "_draw", seed=f"{seed}-{f}").alias("h"), F.lit(i).alias("i"))
         for i, f in enumerate(names)])), lambda s: s["i"])
-    walks = drawn.select(key, "_x", "_draw", F.element_at("_pool", pick).alias("_b"), order.alias("_order"))
+    walks = drawn.select(key, "_x", "_draw", "_b", order.alias("_order"))
     steps = walks.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(names)))))
     moved = F.slice("_order", F.lit(1), F.col("_step"))
     mixed = {f: F.when(F.array_contains(moved, i), F.col("_x")[i]).otherwise(F.col("_b")[i]) for i, f in enumerate(names)}

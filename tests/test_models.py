@@ -159,8 +159,23 @@ def test_shapley_adds_up_and_orders_importance(spark, table):
         assert total[r["row_id"]] == pytest.approx(r["fraud_probability"] - stand_in)
     assert explain.global_importance(phi).first()["feature"] == "a"
     assert {r["feature"] for r in explain.dependence(phi, ["b"]).collect()} == {"b"}
-    with pytest.raises(ValueError):
-        explain.shapley_attributions(rows, table, MODEL, ["a"], background_size=10 ** 6)
+
+
+def test_shapley_against_a_background_of_any_size(spark, table, monkeypatch):
+    rows = table.where("row_id < 3")
+    shape = lambda df: {(r["row_id"], r["feature"]): r["phi"] for r in df.collect()}
+    run = lambda: shape(explain.shapley_attributions(rows, table, MODEL, ["a", "b"], draws=8, background_size=10 ** 6, score="fraud_probability"))
+    joined = run()
+    monkeypatch.setattr(explain, "BACKGROUND_BROADCAST", 10 ** 9)
+    assert len(joined) == 6 and run() == pytest.approx(joined)
+    # the mean over the drawn stand-ins, which are numbered by digest
+    from rarelens.functions.features import hash_unit, stable_hash
+    stand_ins = [r["s"] for r in MODEL.transform(table).orderBy(stable_hash("row_id", seed=42)).select(F.col("fraud_probability").alias("s")).collect()]
+    draws = rows.select("row_id", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("_draw")).withColumn("u", hash_unit("row_id", "_draw", seed="42-background")).collect()
+    for r in MODEL.transform(rows).collect():
+        picked = [stand_ins[int(d["u"] * len(stand_ins))] for d in draws if d["row_id"] == r["row_id"]]
+        assert joined[(r["row_id"], "a")] + joined[(r["row_id"], "b")] == pytest.approx(r["fraud_probability"] - sum(picked) / len(picked))
+    assert not shape(explain.shapley_attributions(rows, table.where("false"), MODEL, ["a", "b"], score="fraud_probability"))
 
 
 def test_local_surrogate_terms(spark, table):
