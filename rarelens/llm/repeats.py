@@ -50,6 +50,8 @@ GRAM = 32
 BUCKET_LIMIT = 8192
 BATCH_BYTES = 1 << 20
 SAMPLE = 64
+#: Suffixes whose bytes are laid out at once.
+PIECE = 8192
 #: Text that is hashed at once, the same where anchors are hot, and text whose contexts are sent together.
 SEND_PIECE, HOT_PIECE, SEND_BYTES = 1 << 20, 1 << 18, 4 << 20
 #: In place of the byte before a suffix: the suffix starts its context; not a suffix but a whole context.
@@ -269,17 +271,27 @@ class SuffixArray:
         reach = int(room[begin].max())
         wide = length + -(-max(reach - length, 1) // 8) * 8
         at = np.arange(wide)
-        rows = np.zeros((len(begin), wide), np.uint8)
-        for i in range(0, len(begin), 65536):
-            part = begin[i:i + 65536, None] + at
-            inside = at < room[begin[i:i + 65536], None]
-            rows[i:i + 65536] = np.where(inside, data[np.minimum(part, len(data) - 1)] + np.uint8(1), 0)
-        words = np.ascontiguousarray(rows[:, length:]).view(">u8").astype(U)
-        order = np.lexsort((*words.T[::-1], group))
+        raised = np.zeros(len(data) + wide, np.uint8)
+        raised[:len(data)] = data + np.uint8(1)
+        strings = np.lib.stride_tricks.sliding_window_view(raised, wide)
+
+        def rows(places: np.ndarray) -> np.ndarray:
+            out = strings[places]
+            out[at >= room[places, None]] = 0
+            return out
+
+        # the suffixes' bytes are laid out a piece at a time: all of them would take hundreds of times the texts
+        words = np.empty(((wide - length) // 8, len(begin)), U)
+        for i in range(0, len(begin), PIECE):
+            words[:, i:i + PIECE] = np.ascontiguousarray(rows(begin[i:i + PIECE])[:, length:]).view(">u8").T
+        order = np.lexsort((*words[::-1], group))
+        del words
         self.places, self.left, group = begin[order], left[order], group[order]
-        rows = rows[order]
-        differs = rows[1:] != rows[:-1]
-        same = np.where(differs.any(axis=1), differs.argmax(axis=1), wide)
+        same = np.empty(len(begin) - 1, np.int64)
+        for i in range(0, len(same), PIECE):
+            piece = rows(self.places[i:i + PIECE + 1])
+            differs = piece[1:] != piece[:-1]
+            same[i:i + PIECE] = np.where(differs.any(axis=1), differs.argmax(axis=1), wide)
         here = room[self.places]
         self.common = np.concatenate([[0], np.minimum(same, np.minimum(here[1:], here[:-1]))])
         if keys is not None:
