@@ -185,3 +185,25 @@ def test_top_share_never_splits_ties(spark):
     rows = {r["share"]: r for r in thresholds.at_top_share(curves.score_curve(df), [0.05, 0.2, 0.4]).collect()}
     assert (rows[0.05]["alerts"], rows[0.2]["alerts"], rows[0.4]["alerts"]) == (0, 1, 4)
     assert rows[0.4]["precision"] == 0.5
+
+
+def test_curve_of_groups_with_edges_from_a_sample(spark, monkeypatch):
+    """A table beyond the edge sample, by group: the curve, its metrics and the policies are those of all rows."""
+    from rarelens.operators import ordered
+    expected = {r["g"]: r for r in curves.ranking_metrics(curves.score_curve(all_cases(spark), by=["g"]), ["g"]).collect()}
+    grouped = all_cases(spark).where("g in ('ties', 'clustered')").withColumnRenamed("g", "model")
+    lines = evaluation.compare_models(grouped).collect()
+    monkeypatch.setattr(ordered, "EDGE_SAMPLE", 100)
+    monkeypatch.setattr(ordered, "bucket_count", lambda df: 4)
+    curve = curves.score_curve(all_cases(spark), by=["g"])
+    for r in curves.ranking_metrics(curve, ["g"]).collect():
+        want = expected[r["g"]]
+        assert (r["n"], r["pos"], r["thresholds"]) == (want["n"], want["pos"], want["thresholds"])
+        assert r["pr_auc"] == pytest.approx(want["pr_auc"]) and r["roc_auc"] == pytest.approx(want["roc_auc"])
+    assert len(curves.roc_curve(curve, ["g"]).collect()) == sum(r["thresholds"] + 1 for r in expected.values())
+    assert {r["g"] for r in thresholds.precision_or_best(curve, ["g"], 0.3).collect()} == set(expected)
+    again = {r["model"]: r for r in evaluation.compare_models(grouped).collect()}
+    assert len(again) == 2
+    for r in lines:
+        numbers = [c for c in r.asDict() if c != "model"]
+        assert [again[r["model"]][c] for c in numbers] == pytest.approx([r[c] for c in numbers], rel=1e-9)

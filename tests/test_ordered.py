@@ -133,3 +133,17 @@ def test_mutual_information_ranks_the_informative_feature_first(spark):
     rows = correlate.binned_mutual_information(spark.createDataFrame(pdf), ["noise", "signal"]).collect()
     assert rows[0]["feature"] == "signal"
     assert rows[0]["mutual_information"] == pytest.approx(np.log(2), abs=0.05)
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_quantiles_of_groups_with_edges_from_a_sample(spark, monkeypatch, groups):
+    """A table beyond the edge sample: rows are drawn, results are of all rows."""
+    monkeypatch.setattr(ordered, "EDGE_SAMPLE", 100)
+    monkeypatch.setattr(ordered, "bucket_count", lambda df: 4)
+    monkeypatch.setattr(ordered, "estimated_rows", lambda df: 4000.0)
+    pdf = pd.DataFrame({"g": [i % groups for i in range(4000)], "x": [float((i * 37) % 1009) for i in range(4000)], "z": [float(i) for i in range(4000)]})
+    got = {(r["g"], r["column"], r["prob"]): r["value"] for r in ordered.quantiles(spark.createDataFrame(pdf), ["x", "z"], [0.1, 0.5], ["g"]).collect()}
+    want = {(g, c, p): rows[c].quantile(p) for g, rows in pdf.groupby("g") for c in ("x", "z") for p in (0.1, 0.5)}
+    assert got == pytest.approx(want)
+    plan = ordered.range_buckets(spark.createDataFrame(pdf), ["x"], ["g"])
+    assert plan.groups == groups and len(plan.edges["x"]) == 3
