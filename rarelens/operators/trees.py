@@ -8,6 +8,8 @@ are integers (fixed point), so a tree does not depend on partitions, task order
 A tree's rows are drawn from digests of the row's key: none, a share, or Poisson(1) copies (a bootstrap). `first` and `second`
 are gradient and hessian for second-order trees, or the weights of both classes for gini and entropy trees. A node's
 features may be drawn as well. Level-wise growth has no depth limit; open nodes are taken in groups of bounded memory.
+Trees that draw the same rows share sums for as long as their splits are the same: nodes reached by one path hold the same
+rows, so they are added up once, and each tree takes the edge that its own criterion and limits allow.
 
 Missing values go to the side where they gain more (left if they make no difference). Values beyond the edges go to the
 outer bins. Edges come from approximate quantiles; they are part of the result, and splits are `value < threshold`.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ ship_with_tasks(__name__)
 MISSING = 255
 #: Sums of the open nodes of one scan take at most so many bytes in a task.
 SCAN_BYTES = 64 << 20
+#: Up to so many different lines of (first, second, copies), rows are counted by line instead of added up.
+KINDS = 8
 _U = np.uint64
 #: Cumulative Poisson(1) probabilities.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(18)])
@@ -69,6 +74,14 @@ class Growth:
     skip_fold: int | None = None          # rows of this fold are not learned from
     seed: int = 42
 
+    def draw(self) -> tuple:
+        """Trees with the same draw learn from the same rows with the same sums."""
+        return self.criterion == "second_order", repr(self.class_weight), self.skip_fold, (self.bootstrap, self.subsample, self.seed) if self.bootstrap or self.subsample < 1 else None
+
+    def choice(self) -> tuple:
+        """Trees with the same choice take the same edge of the same sums."""
+        return self.criterion, self.min_split, self.min_leaf, self.min_child, self.reg_lambda, self.reg_alpha, self.gamma, self.max_delta_step
+
     def copies(self, keys: np.ndarray) -> np.ndarray:
         """How often each row counts in this tree."""
         if self.bootstrap:
@@ -138,6 +151,11 @@ class Tree:
             return np.where(np.isnan(v), missing_left[at], (v < threshold[at]) | np.isinf(threshold[at]))
         return self._walk(len(x), goes_left)
 
+    def router(self) -> Tree:
+        """Only what `leaf_of_bins` reads, as arrays."""
+        return Tree(feature=np.array(self.feature, np.int32), edge=np.array(self.edge, np.int32), missing_left=np.array(self.missing_left),
+                    left=np.array(self.left, np.int32), right=np.array(self.right, np.int32))
+
     def as_dict(self) -> dict:
         return asdict(self)
 
@@ -309,49 +327,85 @@ def best_edge(growth: Growth, sums: np.ndarray, shift: int) -> tuple[float, int,
     return best
 
 
-def _scan(table: DataFrame, trees: list[Tree], growths: Sequence[Growth], open_nodes: list[tuple[int, int]], edges: Sequence[Sequence[float]],
-          counts: dict[int, np.ndarray], shift: int) -> list:
-    """The best split of every open node: one job."""
+def _kinds(first: np.ndarray, second: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(distinct lines, line of each row) if the rows have few different values, as class weights and copies mostly do."""
+    line, kinds = np.zeros(len(copies), np.int64), []
+    rest = np.arange(len(copies))
+    while len(rest):
+        if len(kinds) == KINDS:
+            return None
+        i = rest[0]
+        same = (first[rest] == first[i]) & (second[rest] == second[i]) & (copies[rest] == copies[i])
+        line[rest[same]] = len(kinds)
+        kinds.append((first[i], second[i], copies[i]))
+        rest = rest[~same]
+    return np.array(kinds, np.int64).reshape(-1, 3), line
+
+
+def _sums(code: np.ndarray, cells: int, features: int, mine: np.ndarray, values: Sequence[np.ndarray], kinds: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """(first, second, copies) of every cell, exact; `code` holds the cells of all rows feature by feature."""
+    if kinds is not None:
+        lines, line = kinds
+        counted = np.bincount(code * len(lines) + np.tile(line[mine], features), minlength=cells * len(lines))
+        return counted.reshape(cells, len(lines)) @ lines
+    out = np.empty((cells, 3), np.int64)
+    for i, v in enumerate(values):
+        # bincount adds doubles: high and low halves keep integers exact
+        low = np.bincount(code, np.tile(v[mine] & 0xFFFFFF, features), cells).astype(np.int64)
+        high = np.bincount(code, np.tile(v[mine] >> 24, features), cells).astype(np.int64)
+        out[:, i] = low + (high << 24)
+    return out
+
+
+def _scan(table: DataFrame, trees: list[Tree], growths: Sequence[Growth], leads: list[tuple[int, int, np.ndarray, list[int]]],
+          edges: Sequence[Sequence[float]], counts: dict[int, np.ndarray], shift: int) -> dict[tuple[int, int, int], Any]:
+    """The best split of every lead (tree, node, features, trees that choose by its sums), by (tree, node, choosing tree): one job."""
     width, bins = len(edges), max(len(e) for e in edges) + 1
     wanted: dict[int, dict[int, np.ndarray]] = {}
-    for t, node in open_nodes:
-        wanted.setdefault(t, {})[node] = growths[t].node_features(width, node)
-    growths = list(growths)
+    for t, node, fs, _ in leads:
+        wanted.setdefault(t, {})[node] = fs
+    choosers = {(t, node): own for t, node, _, own in leads}
+    growths = {t: growths[t] for t in {*wanted, *(c for own in choosers.values() for c in own)}}
+    # trees of one draw one after the other: a batch's draw is held for them
+    draws: dict[tuple, int] = {}
+    wanted = dict(sorted(wanted.items(), key=lambda w: draws.setdefault(growths[w[0]].draw(), len(draws))))
+    routers, counts = {t: trees[t].router() for t in wanted}, {t: counts[t] for t in wanted if t in counts}
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {(t, node): np.zeros((len(fs), bins + 1, 3), np.int64) for t, nodes in wanted.items() for node, fs in nodes.items()}
         for batch in batches:
             codes = rows_of_bytes(batch.column("bins"), width)
+            drawn: tuple = (None,)
             for t, nodes in wanted.items():
-                rows, copies, first, second = _drawn(growths[t], batch, counts.get(t), shift)
-                own = codes[rows]
-                leaf = trees[t].leaf_of_bins(own)
+                if drawn[0] != growths[t].draw():
+                    rows, copies, first, second = _drawn(growths[t], batch, counts.get(t), shift)
+                    kinds = None if growths[t].criterion == "second_order" else _kinds(first, second, copies)
+                    drawn = growths[t].draw(), np.minimum(codes[rows], bins), codes[rows], (first, second, copies), kinds
+                _, cells, own, values, kinds = drawn
+                leaf = routers[t].leaf_of_bins(own)
                 order = np.argsort(leaf, kind="stable")
-                ends = np.searchsorted(leaf[order], np.arange(len(trees[t].left) + 1))
+                ends = np.searchsorted(leaf[order], np.arange(len(routers[t].left) + 1))
                 for node, fs in nodes.items():
                     mine = order[ends[node]:ends[node + 1]]
                     if not len(mine):
                         continue
                     # one count over (feature, bin); missing values take the last bin
-                    code = np.minimum(own[np.ix_(mine, fs)].astype(np.int64), bins) + np.arange(len(fs)) * (bins + 1)
-                    code, size = code.T.ravel(), len(fs) * (bins + 1)
-                    for i, v in enumerate((first, second, copies)):
-                        # bincount adds doubles: high and low halves keep integers exact
-                        low = np.bincount(code, np.tile(v[mine] & 0xFFFFFF, len(fs)), size).astype(np.int64)
-                        high = np.bincount(code, np.tile(v[mine] >> 24, len(fs)), size).astype(np.int64)
-                        sums[t, node][:, :, i] += (low + (high << 24)).reshape(len(fs), bins + 1)
+                    code = (cells[np.ix_(mine, fs)].astype(np.int64) + np.arange(len(fs)) * (bins + 1)).T.ravel()
+                    sums[t, node] += _sums(code, len(fs) * (bins + 1), len(fs), mine, values, kinds).reshape(len(fs), bins + 1, 3)
         out = [(t, node, int(f), s.tobytes()) for (t, node), each in sums.items() for f, s in zip(wanted[t][node], each, strict=True) if each[0, :, 2].any()]
         yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()),
                                           pa.array([o[2] for o in out], pa.int32()), pa.array([o[3] for o in out], pa.binary())],
                                          names=["tree", "node", "feature", "sums"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("gain", pa.float64()), ("edge", pa.int32()), ("missing_left", pa.bool_()),
+        kinds = [("tree", pa.int32()), ("node", pa.int32()), ("chooser", pa.int32()), ("feature", pa.int32()), ("gain", pa.float64()), ("edge", pa.int32()), ("missing_left", pa.bool_()),
                  ("left", pa.list_(pa.int64())), ("total", pa.list_(pa.int64()))]
 
-        def line(key, sums):
-            gain, edge, missing_left, left, total = best_edge(growths[key[0]], sums, shift)
-            return dict(zip(("tree", "node", "feature", "gain", "edge", "missing_left", "left", "total"), (*key, gain, edge, missing_left, left, total), strict=True))
+        def lines(key, sums):
+            tree, node, feature = key
+            for c in choosers[tree, node]:
+                gain, edge, missing_left, left, total = best_edge(growths[c], sums, shift)
+                yield dict(zip((k for k, _ in kinds), (tree, node, c, feature, gain, edge, missing_left, left, total), strict=True))
         key, held = None, None
         for batch in batches:
             out = []
@@ -362,20 +416,20 @@ def _scan(table: DataFrame, trees: list[Tree], growths: Sequence[Growth], open_n
                     held = held + sums
                     continue
                 if key is not None:
-                    out.append(line(key, held))
+                    out += lines(key, held)
                 key, held = own, sums
             if out:
                 yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
         if key is not None:
-            yield pa.RecordBatch.from_pylist([line(key, held)], pa.schema(kinds))
+            yield pa.RecordBatch.from_pylist(list(lines(key, held)), pa.schema(kinds))
 
     columns = [c for c in ("key", "label", "weight", "fold", "margin", "bins") if c in table.columns]
     partial = table.select(*columns).mapInArrow(add_up, "tree int, node int, feature int, sums binary")
     found = partial.repartition("tree", "node", "feature").sortWithinPartitions("tree", "node", "feature").mapInArrow(
-        choose, "tree int, node int, feature int, gain double, edge int, missing_left boolean, left array<bigint>, total array<bigint>")
+        choose, "tree int, node int, chooser int, feature int, gain double, edge int, missing_left boolean, left array<bigint>, total array<bigint>")
     # of equal gains the lowest feature
-    best = found.groupBy("tree", "node").agg(F.max(F.struct("gain", (-F.col("feature")).alias("f"), "edge", "missing_left", "left", "total")).alias("b"))
-    return sorted(best.select("tree", "node", "b.*").collect(), key=lambda r: (r["tree"], r["node"]))
+    best = found.groupBy("tree", "node", "chooser").agg(F.max(F.struct("gain", (-F.col("feature")).alias("f"), "edge", "missing_left", "left", "total")).alias("b"))
+    return {(r["tree"], r["node"], r["chooser"]): r["b"] for r in best.collect()}
 
 
 def grow(table: DataFrame, growths: Sequence[Growth], edges: Sequence[Sequence[float]], total: float | None = None) -> list[Tree]:
@@ -392,27 +446,39 @@ def grow(table: DataFrame, growths: Sequence[Growth], edges: Sequence[Sequence[f
     trees = [Tree() for _ in growths]
     open_nodes = [(t, 0) for t in range(len(growths))]
     bins = max(len(e) for e in edges) + 1 if edges else 1
+    # equal paths hold the same rows
+    paths: dict[tuple[int, int], tuple] = {(t, 0): growths[t].draw() for t, _ in open_nodes}
     while open_nodes and edges:
-        upcoming, at = [], 0
-        while at < len(open_nodes):
+        number: dict[tuple, int] = {}
+        leads: dict[tuple, tuple[int, int, np.ndarray, dict[tuple, int]]] = {}
+        chosen = []
+        for t, node in open_nodes:
+            path, fs = number.setdefault(paths[t, node], len(number)), growths[t].node_features(len(edges), node)
+            lead = leads.setdefault((path, fs.tobytes()), (t, node, fs, {}))
+            chosen.append((t, node, path, (lead[0], lead[1], lead[3].setdefault(growths[t].choice(), t))))
+        waiting = [(t, node, fs, list(own.values())) for t, node, fs, own in leads.values()]
+        found, at = {}, 0
+        while at < len(waiting):
             size, stop = 0, at
-            while stop < len(open_nodes) and (stop == at or size <= SCAN_BYTES):
-                t, node = open_nodes[stop]
-                size, stop = size + len(growths[t].node_features(len(edges), node)) * (bins + 1) * 24, stop + 1
-            for r in _scan(table, trees, growths, open_nodes[at:stop], edges, counts, shift):
-                upcoming += _applied(trees[r["tree"]], growths[r["tree"]], r, edges, shift)
+            while stop < len(waiting) and (stop == at or size <= SCAN_BYTES):
+                size, stop = size + len(waiting[stop][2]) * (bins + 1) * 24, stop + 1
+            found.update(_scan(table, trees, growths, waiting[at:stop], edges, counts, shift))
             at = stop
-        # a scan routes rows by the trees as they stood: children open together, after all groups
-        for t, node, children in upcoming:
-            trees[t].left[node], trees[t].right[node] = children
-        open_nodes = [(t, c) for t, _, pair in upcoming for c in pair if growths[t].max_depth is None or trees[t].depth[c] < growths[t].max_depth]
-        open_nodes = [(t, c) for t, c in open_nodes if trees[t].rows[c] >= max(growths[t].min_split, 2 * growths[t].min_leaf)]
+        paths, open_nodes = {}, []
+        for t, node, path, place in chosen:
+            r = found.get(place)
+            for left, child in enumerate(_applied(trees[t], growths[t], node, r, edges, shift) if r is not None else ()):
+                if growths[t].max_depth is not None and trees[t].depth[child] >= growths[t].max_depth:
+                    continue
+                if trees[t].rows[child] >= max(growths[t].min_split, 2 * growths[t].min_leaf):
+                    paths[t, child] = path, r["f"], r["edge"], r["missing_left"], left
+                    open_nodes.append((t, child))
     return trees
 
 
-def _applied(tree: Tree, growth: Growth, r, edges: Sequence[Sequence[float]], shift: int) -> list:
-    """Fill in a node from its best split; (tree, node, children) if it has one."""
-    node, real = r["node"], lambda v: math.ldexp(v, -shift)
+def _applied(tree: Tree, growth: Growth, node: int, r, edges: Sequence[Sequence[float]], shift: int) -> tuple:
+    """Fill in a node from its best split; its children if it has one."""
+    real = lambda v: math.ldexp(v, -shift)
 
     def fill(n: int, sums: Sequence[int]) -> None:
         first, second = real(sums[0]), real(sums[1])
@@ -420,7 +486,7 @@ def _applied(tree: Tree, growth: Growth, r, edges: Sequence[Sequence[float]], sh
         tree.cover[n] = second if growth.criterion == "second_order" else first + second
     fill(node, r["total"])
     if r["gain"] < 0 or tree.depth[node] == growth.max_depth:     # a root is scanned for its sums at any depth
-        return []
+        return ()
     feature = -r["f"]
     inner = edges[feature]
     tree.feature[node], tree.edge[node] = feature, r["edge"]
@@ -429,7 +495,8 @@ def _applied(tree: Tree, growth: Growth, r, edges: Sequence[Sequence[float]], sh
     children = tree.add(tree.depth[node] + 1), tree.add(tree.depth[node] + 1)
     fill(children[0], r["left"])
     fill(children[1], [a - b for a, b in zip(r["total"], r["left"], strict=True)])
-    return [(r["tree"], node, children)]
+    tree.left[node], tree.right[node] = children
+    return children
 
 
 def leaf_values(trees: Sequence[Tree], codes: np.ndarray) -> np.ndarray:

@@ -46,3 +46,21 @@ def test_odd_searches(spark):
         shared_search(df, NAMES, "Class", ["id"], [{}], metric="gini")
     found = shared_search(df.withColumn("Class", F.lit(0)), NAMES, "Class", ["id"], [{"max_depth": 1}], 2, "recall")
     assert found.best_score == 0.0
+
+
+def test_trees_of_one_draw_share_sums(spark, monkeypatch):
+    """Nodes that hold the same rows are added up once, and every tree is the one that it is alone."""
+    x, y = data(400, 13, missing=0.05)
+    df = frame(spark, x, y).withColumn("_fold", F.col("id") % 2)
+    edges = trees.quantile_edges(df, NAMES, 16)
+    table = trees.binned(df, NAMES, edges, "y", key="id", keep={"fold": "_fold"})
+    growths = [Growth(c, max_depth=d, min_split=s, min_leaf=n, skip_fold=f, class_weight="balanced")
+               for c in ("gini", "entropy") for d in (2, 4) for s, n in ((2, 1), (60, 20)) for f in (0, 1)]
+    growths += [Growth("gini", max_depth=2, bootstrap=True, features="sqrt", skip_fold=0, seed=s) for s in (1, 2)]
+    asked = []
+    scan = trees._scan
+    monkeypatch.setattr(trees, "_scan", lambda *a: asked.append(len(a[3])) or scan(*a))
+    together = trees.grow(table, growths, edges)
+    assert asked[0] == 4                                     # two folds and two bootstraps, not eighteen trees
+    for growth, tree in zip(growths, together, strict=True):
+        assert tree == trees.grow(table, [growth], edges)[0]
